@@ -27,5 +27,5 @@ def days_since(as_of: Column, moment: Column) -> Column:
 
 def clock_text(as_of: Column, zone: str = LOCAL_ZONE) -> Column:
     """``as_of`` (an instant) as date-time text of a fixed zone, whatever the zone of the session."""
-    there = F.convert_timezone(F.lit(zone), as_of.cast("timestamp").cast("timestamp_ntz"))
+    there = F.convert_timezone(None, F.lit(zone), as_of.cast("timestamp").cast("timestamp_ntz"))
     return F.date_format(there, "yyyy-MM-dd HH:mm:ss")

@@ -12,16 +12,16 @@ from predia.fixed_values import TEXT_DATE_LENGTH
 from predia.operators.cleaning import quoted
 
 
-def parse_schema(schema: T.StructType | str) -> T.StructType:
-    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+def parse_schema(schema: Iterable[T.StructField] | str) -> Iterable[T.StructField]:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+def conform(df: DataFrame, schema: Iterable[T.StructField] | str) -> DataFrame:
     """The columns of ``schema``, by name, in its order and types; values that do not fit become null."""
     return df.select(*[quoted(f.name).try_cast(f.dataType).alias(f.name) for f in parse_schema(schema)])
 
 
-def complete_columns(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+def complete_columns(df: DataFrame, schema: Iterable[T.StructField] | str) -> DataFrame:
     """``df`` plus every column of ``schema`` it lacks, as typed nulls."""
     missing = [f for f in parse_schema(schema) if f.name not in df.columns]
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])

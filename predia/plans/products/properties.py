@@ -18,7 +18,6 @@ from predia.functions import (
 )
 from predia.operators.cleaning import fill_zero
 from predia.operators.enrich import lookup, pivot_attributes, union_branches
-from predia.operators.schema import conform
 from predia.plans.products.common import city_columns, finish
 
 SITE_URL = "https://www.example.com"
@@ -208,4 +207,4 @@ def properties_and_projects(tables: Mapping[str, DataFrame], as_of=None, site: s
         "nm_publication_days_since_posted": days_since(now, F.col("dt_creation_date")),
     })
     rows = fill_zero(rows, ZERO_COUNTS)
-    return conform(finish(rows, "id_publication", PROPERTIES_REQUIRED, now), PROPERTIES_SCHEMA)
+    return finish(rows, "id_publication", PROPERTIES_REQUIRED, now, schema=PROPERTIES_SCHEMA)
