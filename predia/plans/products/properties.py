@@ -14,7 +14,7 @@ from predia.fixed_values import (
 )
 from predia.functions import (
     clock, days_since, decode, first_positive, fold_accents, is_known_flag, one_of_flag, or_constant, parse_time,
-    part_of, price_per_unit, slug, to_decimal, to_float, to_int, yes_no,
+    part_of, price_per_unit, slug, to_area, to_decimal, to_float, to_int, yes_no,
 )
 from predia.operators.cleaning import fill_zero
 from predia.operators.enrich import lookup, pivot_attributes, union_branches
@@ -22,26 +22,24 @@ from predia.plans.products.common import city_columns, finish
 
 SITE_URL = "https://www.example.com"
 
-PRICES = ("nm_property_selling_price", "nm_property_monthly_rent_payment", "nm_property_monthly_administration_fee")
-AREAS = ("nm_built_area", "nm_private_area")
-COUNTS = (*ZERO_COUNTS, "nm_property_age")
+# Types of the attributes of a building class; the rest are flags, read after the union.
+ATTRIBUTE_TYPES = {
+    **dict.fromkeys(("nm_property_selling_price", "nm_property_monthly_administration_fee"), to_decimal),
+    **dict.fromkeys(("nm_built_area", "nm_private_area"), to_float),
+    **dict.fromkeys(ZERO_COUNTS, to_int),
+}
 FLAGS = (
     "fl_has_laundry_area", "fl_has_green_zones", "fl_has_communal_living", "fl_has_children_zone", "fl_has_pool",
     "fl_has_gym", "fl_has_service_room", "fl_has_service_bathroom", "fl_has_reception", "fl_has_air_conditioner",
     "fl_is_property_offer", "fl_has_social_room",
 )
-DATES = (
-    "dt_creation_date", "dt_modification_date", "dt_property_inception_date", "dt_property_expiration_date",
-    "dt_property_deletion_date", "dt_property_project_delivery_date",
-)
 
-# Columns of a property that only change their name, or also their sign, on the way to a publication.
-PROPERTY_RENAMES = {
+# Columns of a property that reach a publication under another name, by what is done to them on the way.
+PROPERTY_TEXTS = {
     "direccion": "ds_address",
+    "latitud": "ds_latitude",
+    "longitud": "ds_longitude",
     "matricula_inmobiliaria": "ds_property_real_state_registration_number",
-    "precio_venta": "nm_property_selling_price",
-    "canon_arrendamiento": "nm_property_monthly_rent_payment",
-    "valor_administracion": "nm_property_monthly_administration_fee",
     "cuarto_servicio": "fl_has_service_room",
     "bano_servicio": "fl_has_service_bathroom",
     "zona_lavanderia": "fl_has_laundry_area",
@@ -56,11 +54,11 @@ PROPERTY_RENAMES = {
     "gimnasio": "fl_has_gym",
     "permite_mascotas": "fl_is_pet_allowed",
     "enoferta": "fl_is_property_offer",
-    "fecha_creacion": "dt_creation_date",
-    "fecha_modificacion": "dt_modification_date",
-    "start_publicacion": "dt_property_inception_date",
-    "end_publicacion": "dt_property_expiration_date",
-    "fecha_eliminacion": "dt_property_deletion_date",
+}
+PROPERTY_PRICES = {
+    "precio_venta": "nm_property_selling_price",
+    "canon_arrendamiento": "nm_property_monthly_rent_payment",
+    "valor_administracion": "nm_property_monthly_administration_fee",
 }
 PROPERTY_COUNTS = {
     "num_parqueaderos": "nm_parking_number",
@@ -73,6 +71,13 @@ PROPERTY_COUNTS = {
     "num_depositos": "nm_storage_room_number",
     "num_ascensores": "nm_elevator_number",
 }
+PROPERTY_DATES = {
+    "fecha_creacion": "dt_creation_date",
+    "fecha_modificacion": "dt_modification_date",
+    "start_publicacion": "dt_property_inception_date",
+    "end_publicacion": "dt_property_expiration_date",
+    "fecha_eliminacion": "dt_property_deletion_date",
+}
 
 
 def _with_places(df: DataFrame, tables: Mapping[str, DataFrame], state_key: str) -> DataFrame:
@@ -103,11 +108,12 @@ def _page(site: str, *parts: Column | str) -> Column:
 def _used_properties(tables: Mapping[str, DataFrame], site: str) -> DataFrame:
     properties = _with_owner(_with_places(tables["inmueble"], tables, "id_depto"), tables["usuario"])
 
-    def area(name: str) -> Column:
-        return F.coalesce(F.abs(to_decimal(F.col(name), 20, 6)), F.lit(0).cast("decimal(20,6)"))
-
-    store = decode(F.col("id_tipo_transaccion"), *PROPERTY_SITE)
-    city = slug(F.col("ds_city_name"))
+    areas = ("area_construida", "area_bodega", "area_lote", "area_oficina")
+    properties = properties.withColumns({
+        **{name: to_area(F.col(name)) for name in areas},
+        "store": decode(F.col("id_tipo_transaccion"), *PROPERTY_SITE),
+    }).withColumn("built", first_positive(*[F.col(name) for name in areas]))
+    city, store = slug(F.col("ds_city_name")), F.col("store")
     page = F.when(
         F.col("proyecto").cast("string") == "0",
         _page(site, PROPERTY_PATH, F.lower("ds_property_type"), "-en-", slug(store), "-en-",
@@ -116,7 +122,6 @@ def _used_properties(tables: Mapping[str, DataFrame], site: str) -> DataFrame:
         _page(site, PROPERTY_IN_PROJECT_PATH, slug(F.col("nombre_proyecto")), "-en-",
               slug(F.col("ds_neighborhood")), "-", city, "-", F.col("id"))
     )
-    built = first_positive(area("area_construida"), area("area_bodega"), area("area_lote"), area("area_oficina"))
     return properties.select(
         F.col("codigo").alias("id_publication"),
         decode(F.col("activo"), *PROPERTY_STATUS).alias("ds_publication_status"),
@@ -125,14 +130,13 @@ def _used_properties(tables: Mapping[str, DataFrame], site: str) -> DataFrame:
         "id_publication_owner_app_identification_number", "ds_publication_owner_email", "ds_property_type",
         "cd_state_dane_code", "ds_state_name", "cd_city_dane_code", "ds_city_name", "ds_neighborhood",
         "ds_district_division", "cd_neighborhood_economic_level",
-        F.col("latitud").cast("string").alias("ds_latitude"),
-        F.col("longitud").cast("string").alias("ds_longitude"),
-        price_per_unit(F.col("precio_venta"), built).alias("nm_square_meter_price"),
-        built.cast("string").alias("nm_built_area"),
-        area("area_privada").cast("string").alias("nm_private_area"),
-        *[F.abs(to_int(F.col(source))).cast("string").alias(name) for source, name in PROPERTY_COUNTS.items()],
-        *[F.col(s).cast("string").alias(n) for s, n in PROPERTY_RENAMES.items() if not n.startswith("dt_")],
-        *[parse_time(F.col(s)).alias(n) for s, n in PROPERTY_RENAMES.items() if n.startswith("dt_")],
+        price_per_unit(F.col("precio_venta"), F.col("built")).alias("nm_square_meter_price"),
+        to_float(F.col("built")).alias("nm_built_area"),
+        to_float(to_area(F.col("area_privada"))).alias("nm_private_area"),
+        *[to_decimal(F.col(source)).alias(name) for source, name in PROPERTY_PRICES.items()],
+        *[F.abs(to_int(F.col(source))).alias(name) for source, name in PROPERTY_COUNTS.items()],
+        *[F.col(source).cast("string").alias(name) for source, name in PROPERTY_TEXTS.items()],
+        *[parse_time(F.col(source)).alias(name) for source, name in PROPERTY_DATES.items()],
         one_of_flag(F.col("vigilancia"), VIGILANCE_CODES).alias("fl_has_vigilance"),
         page.alias("tx_url"),
     )
@@ -189,18 +193,15 @@ def _project_classes(tables: Mapping[str, DataFrame], site: str) -> DataFrame:
         "ds_publication_site_store": F.lit(PROJECT_SITE),
         "fl_has_vigilance": F.lit(NO),
         "nm_square_meter_price": price_per_unit(F.col("nm_property_selling_price"), F.col("nm_built_area")),
+        **{c: ATTRIBUTE_TYPES[c](F.col(c)) for c in ATTRIBUTE_COLUMNS.values() if c in ATTRIBUTE_TYPES},
     }).drop("id_inmueble_tipo", "id_proyecto")
 
 
 def properties_and_projects(tables: Mapping[str, DataFrame], as_of=None, site: str = SITE_URL) -> DataFrame:
-    """One row per publication. Flags and numbers are read after the union: both branches bring them as text, and
-    what a branch does not have is null, thus ``No`` for a flag and zero for a count."""
+    """One row per publication. Flags are read after the union: both branches bring them as text, and what a branch
+    does not have is null, thus ``No`` for a flag and zero for a count."""
     now = clock(as_of)
-    rows = union_branches(_used_properties(tables, site), _project_classes(tables, site))
-    rows = rows.withColumns({
-        **{c: to_decimal(F.col(c)) for c in PRICES},
-        **{c: to_float(F.col(c)) for c in AREAS},
-        **{c: to_int(F.col(c)) for c in COUNTS},
+    rows = union_branches(_used_properties(tables, site), _project_classes(tables, site)).withColumns({
         **{c: yes_no(F.col(c)) for c in FLAGS},
         "fl_is_pet_allowed": decode(F.col("fl_is_pet_allowed"), *PET_FLAG),
         "fl_has_home_appliances": is_known_flag(F.col("fl_has_home_appliances")),

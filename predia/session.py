@@ -22,6 +22,12 @@ RUNTIME_CONF = {
     "spark.sql.avro.datetimeRebaseModeInWrite": "CORRECTED",
 }
 
+# Settings a session takes only when it is built: call sites kept for every column cost more than they tell.
+STATIC_CONF = {
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session that somebody else built."""
@@ -31,11 +37,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "predia", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; ``conf`` takes extra settings, dots written as in Spark."""
-    builder = SparkSession.builder.appName(app).config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+    """A session with the settings above and any extra ones."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_CONF, **conf}.items():
+    for name, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

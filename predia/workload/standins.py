@@ -214,12 +214,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def standins(spark: SparkSession, folder: str, names) -> dict[str, DataFrame]:
     """The named marketplace tables as frames."""
+    sources: dict[str, DataFrame] = {}
     found = {}
     for name in names:
         text = string.Template(STANDINS[name])
         used = {t for t in SOURCES if "${" + t + "}" in STANDINS[name]}
-        found[name] = spark.sql(text.substitute({t: "{" + t + "}" for t in used}),
-                                **{t: read(spark, folder, t) for t in used})
+        for table in used - sources.keys():
+            sources[table] = read(spark, folder, table)
+        found[name] = spark.sql(text.substitute({t: "{" + t + "}" for t in used}), **{t: sources[t] for t in used})
     return found
 
 
