@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from predia.operators.cleaning import quoted
 
-# Names within back quotes are matched first, so that a type word inside a name is never replaced.
-_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\b(?:VARIANT|VOID)\b|\bDECIMAL\(\d+,\s*[1-9]\d*\)")
+# Names are never replaced: quoted ones are matched first, a plain one is followed by a colon.
+_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\b(?:VARIANT|VOID)\b(?!:)|\bDECIMAL\(\d+,\s*[1-9]\d*\)")
 
 
 def _as_ddl(variant_schema: str) -> str:
