@@ -49,4 +49,4 @@ def publish(name: str, tables: Mapping[str, DataFrame], target: KeyedTable, as_o
     Rows whose source is gone stay, unless ``replace`` makes the new rows the whole product.
     """
     rows = PRODUCTS[name].build(tables, as_of, **kwargs)
-    return target.write(rows, "fl") if replace else target.upsert(rows, ["dt_product_hudi_date_time"])
+    return target.overwrite(rows) if replace else target.upsert(rows, ["dt_product_hudi_date_time"])

@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The client of the storage a path lies on, and the path for it."""
     jvm = spark.sparkContext._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     return fs.exists(location)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``, sorted; none when it does not exist."""
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     if not fs.exists(location):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory())
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     if not fs.exists(location):
         raise FileNotFoundError(path)
     stream = fs.open(location)
@@ -37,8 +38,8 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that readers see all of it or none of it."""
-    fs, location = _file_system(spark, path)
-    _, part = _file_system(spark, f"{path}.part")
+    fs, location = file_system(spark, path)
+    _, part = file_system(spark, f"{path}.part")
     stream = fs.create(part, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
@@ -49,5 +50,5 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     fs.delete(location, True)

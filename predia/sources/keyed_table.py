@@ -5,9 +5,10 @@ A plain convention over ``DataFrame.write``: every commit writes one new folder,
 there for readers, so a job that dies half way leaves the table as it was. Writing the same commit again replaces its
 folder. Where a lakehouse format is installed, the same operators can feed its MERGE instead.
 
-``COPY_ON_WRITE`` writes all rows at each commit: cheap reads, for small and middling tables. ``MERGE_ON_READ`` writes
-only the changed rows, and readers lay them over the last full folder; ``compact`` folds them in. At large scale an
-hourly batch of changes should cost what the changes cost, so use ``MERGE_ON_READ`` there.
+Changes are always settled to one row per key and written first. With ``MERGE_ON_READ`` that delta is the commit:
+readers lay the deltas over the last full folder, and ``compact`` folds them in. With ``COPY_ON_WRITE`` the written
+delta is laid over the table at once and all rows become the commit: cheap reads, for small and middling tables. At
+large scale an hourly batch of changes should cost what the changes cost, so use ``MERGE_ON_READ`` there.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from predia.operators.changes import apply_changes, hard_delete, settle_changes, strip_envelope, upsert, without_late
+from predia.operators.changes import DELETE, settle_changes, strip_envelope, without_late
 from predia.operators.cleaning import quoted
 from predia.operators.enrich import union_branches
 from predia.operators.latest import one_per_key
@@ -108,7 +109,10 @@ class KeyedTable:
         later = [c for c, kind in commits if kind == "delta" and c > full[-1]]
         if not later:
             return base
-        changed = self._deltas(later)
+        return self._laid_over(base, self._deltas(later))
+
+    def _laid_over(self, base: DataFrame, changed: DataFrame) -> DataFrame:
+        """``base`` with the newer changes in place of the rows they replace or remove."""
         names = {k: f"_k{i}" for i, k in enumerate(self.keys)}
         marks = changed.select(*[quoted(k).alias(a) for k, a in names.items()], quoted(COMMIT).alias("_changed"))
         older = quoted(COMMIT) < F.col("_changed")
@@ -146,7 +150,8 @@ class KeyedTable:
 
     # Writing
 
-    def _write(self, df: DataFrame, kind: str, commit: str) -> str:
+    def _put(self, df: DataFrame, kind: str, commit: str) -> bool:
+        """Write the folder of a commit, not yet there for readers; whether it holds any row."""
         folder = self._folder(commit, kind)
         files.delete(self.spark, f"{folder}/_schema.json")
         if kind == "full" and self.partition_by:
@@ -155,65 +160,70 @@ class KeyedTable:
         else:
             writer = df.write
         writer.mode("overwrite").options(**self.write_options).parquet(folder)
-        files.write_text(self.spark, f"{folder}/_schema.json", df.schema.json())
+        return not self.spark.read.schema(df.schema).parquet(folder).isEmpty()
+
+    def _finish(self, df: DataFrame, kind: str, commit: str) -> str:
+        files.write_text(self.spark, f"{self._folder(commit, kind)}/_schema.json", df.schema.json())
         return commit
 
+    def _write(self, df: DataFrame, kind: str, commit: str) -> str | None:
+        """One commit; no rows, no commit."""
+        if self._put(df, kind, commit):
+            return self._finish(df, kind, commit)
+        files.delete(self.spark, self._folder(commit, kind))
+        return None
+
+    def _change(self, changed: DataFrame, commit: str) -> str | None:
+        """A commit of settled changes. They are computed once: everything after reads the written delta."""
+        changed = changed.withColumn(COMMIT, F.lit(commit))
+        if self.table_type == "MERGE_ON_READ":
+            return self._write(changed, "delta", commit)
+        written = None
+        if self._put(changed, "delta", commit):
+            delta = self.spark.read.schema(changed.schema).parquet(self._folder(commit, "delta"))
+            merged = self._laid_over(self.rows(before=commit), delta)
+            # A table from which every row is removed is a commit too.
+            self._put(merged, "full", commit)
+            written = self._finish(merged, "full", commit)
+        files.delete(self.spark, self._folder(commit, "delta"))
+        return written
+
     def overwrite(self, df: DataFrame, commit: str | None = None) -> str | None:
-        """Full load: the rows of ``df``, envelope removed, become the table."""
+        """Full load: the rows of ``df``, envelope removed, become the table; nothing happens for no rows."""
         commit = commit or self.new_commit()
         return self._write(strip_envelope(df).withColumn(COMMIT, F.lit(commit)), "full", commit)
 
-    def append(self, df: DataFrame, commit: str | None = None) -> str:
+    def append(self, df: DataFrame, commit: str | None = None) -> str | None:
         """Add rows without looking at their keys; only they are written."""
         commit = commit or self.new_commit()
         kind = "more" if self.commits("full", before=commit) else "full"
         return self._write(strip_envelope(df).withColumn(COMMIT, F.lit(commit)), kind, commit)
 
     def upsert(self, df: DataFrame, order: Iterable[str] = (), commit: str | None = None) -> str | None:
-        """Insert or replace by key; nothing is written for no rows. A missing table is made."""
-        if df.isEmpty():
-            return None
+        """Insert or replace by key, of rows with one key the greatest by ``order``. A missing table is made."""
         commit = commit or self.new_commit()
-        rows = strip_envelope(df).withColumn(COMMIT, F.lit(commit))
+        rows = one_per_key(strip_envelope(df), self.keys, order)
         if not self.commits("full", before=commit):
-            return self._write(one_per_key(rows, self.keys, order), "full", commit)
-        if self.table_type == "MERGE_ON_READ":
-            changed = one_per_key(rows, self.keys, order).withColumn(DELETED, F.lit(False))
-            return self._write(changed, "delta", commit)
-        return self._write(upsert(self.rows(before=commit), rows, self.keys, order), "full", commit)
+            return self._write(rows.withColumn(COMMIT, F.lit(commit)), "full", commit)
+        return self._change(rows.withColumn(DELETED, F.lit(False)), commit)
 
     def apply_changes(
         self, changes: DataFrame, order: Iterable[str], op: str = "Op", guard_late: bool = False,
         commit: str | None = None,
     ) -> str | None:
-        """Apply a batch of a change feed to the loaded table; nothing is written for no rows."""
+        """Apply a batch of a change feed to the loaded table."""
         if not self.commits("full", before=commit):
             raise MissingTableError(f"{self.path} does not exist. Run Full Load First.")
-        if changes.isEmpty():
-            return None
         commit = commit or self.new_commit()
-        changes = changes.withColumn(COMMIT, F.lit(commit))
-        if self.table_type == "MERGE_ON_READ":
-            settled = settle_changes(changes, self.keys, order, op)
-            if guard_late:
-                settled = without_late(settled, self.rows(before=commit), self.keys, order)
-            return self._write(
-                strip_envelope(settled.withColumn(DELETED, quoted(op) == "D").drop(op)), "delta", commit
-            )
-        current = self.rows(before=commit)
-        return self._write(
-            apply_changes(current, changes, self.keys, order, op, guard_late), "full", commit
-        )
+        settled = settle_changes(changes, self.keys, order, op)
+        if guard_late:
+            settled = without_late(settled, self.rows(before=commit), self.keys, order)
+        return self._change(strip_envelope(settled.withColumn(DELETED, quoted(op) == DELETE).drop(op)), commit)
 
     def delete(self, removed: DataFrame, commit: str | None = None) -> str | None:
         """Remove keys."""
-        if removed.isEmpty():
-            return None
         commit = commit or self.new_commit()
-        if self.table_type == "MERGE_ON_READ":
-            marks = removed.select(*self.keys).distinct().withColumns({DELETED: F.lit(True), COMMIT: F.lit(commit)})
-            return self._write(marks, "delta", commit)
-        return self._write(hard_delete(self.rows(before=commit), removed, self.keys), "full", commit)
+        return self._change(removed.select(*self.keys).distinct().withColumn(DELETED, F.lit(True)), commit)
 
     def write(
         self, df: DataFrame, method: str | None, order: Iterable[str] = (), commit: str | None = None, **kwargs
@@ -224,13 +234,15 @@ class KeyedTable:
         if method == "cdc":
             return self.apply_changes(df, order, commit=commit, **kwargs)
         if method == "fl":
-            return None if df.isEmpty() else self.overwrite(df, commit)
+            return self.overwrite(df, commit)
         return self.upsert(df, order, commit)
 
     def compact(self, commit: str | None = None) -> str:
         """Fold added and changed rows into a new full folder; rows keep their commit."""
         commit = commit or self.new_commit()
-        return self._write(self.rows(before=commit), "full", commit)
+        rows = self.rows(before=commit)
+        self._put(rows, "full", commit)
+        return self._finish(rows, "full", commit)
 
     # Catalog
 

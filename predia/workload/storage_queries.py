@@ -29,9 +29,9 @@ def feed_files(df: DataFrame, folder: str, prefix: str) -> None:
     """Write ``df`` as parquet files whose names start with ``prefix``, as a replication feed names them."""
     spark = df.sparkSession
     df.write.mode("append").parquet(f"{folder}.writing")
-    fs, target = files._file_system(spark, folder)
+    fs, target = files.file_system(spark, folder)
     fs.mkdirs(target)
-    _, written = files._file_system(spark, f"{folder}.writing")
+    _, written = files.file_system(spark, f"{folder}.writing")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for status in fs.listStatus(written):
         if status.getPath().getName().startswith("part-"):

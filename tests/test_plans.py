@@ -1,0 +1,125 @@
+"""Plans at scale: what is shuffled, pushed down, broadcast and split."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from predia.operators.changes import apply_changes
+from predia.operators.enrich import left_fan_out, lookup, pivot_attributes
+from predia.operators.latest import newest_rows, one_per_key
+from predia.session import RUNTIME_CONF, scratch_path, tune
+from predia.sources.keyed_table import KeyedTable
+from predia.workload.standins import read
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def settings(spark):
+    """Set run-time settings for one test."""
+    changed = {}
+
+    def change(**conf):
+        for name, value in conf.items():
+            name = name.replace("__", ".")
+            changed[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in changed.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_one_per_key_combines_before_its_only_shuffle(spark):
+    plan = plan_of(one_per_key(read(spark, FOLDER, "events"), ["user_id"], ["ts"]))
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_max" in plan
+
+
+def test_newest_rows_reads_two_columns_for_the_best_times(spark):
+    plan = plan_of(newest_rows(read(spark, FOLDER, "lineitem"), ["l_orderkey"], ["l_shipdate"]))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in plan and "partial_max" in plan
+
+
+def test_small_changes_do_not_shuffle_the_table(spark):
+    path = scratch_path(spark, "plan")
+    table = KeyedTable(spark, path, "o_orderkey")
+    table.overwrite(read(spark, FOLDER, "orders"))
+    changes = read(spark, FOLDER, "events").select(
+        F.col("event_id").alias("o_orderkey"), F.col("ts").alias("o_orderdate"), F.lit("U").alias("Op"))
+    plan = plan_of(apply_changes(table.snapshot(), changes, ["o_orderkey"], ["o_orderdate"]))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    scan_side = plan.split("LeftAnti")[1].split("BroadcastExchange")[0]
+    assert "hashpartitioning" not in scan_side
+
+
+def test_pivot_is_one_shuffle(spark):
+    events = read(spark, FOLDER, "events")
+    kinds = spark.createDataFrame([("view", "view")], "event_type string, alias string")
+    plan = plan_of(pivot_attributes(events, kinds, ["view"], "user_id", "event_type", "value", "alias", "event_id"))
+    assert plan.count("Exchange hashpartitioning(user_id") == 1 and "partial_min" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    path = scratch_path(spark, "push")
+    table = KeyedTable(spark, path, "o_orderkey")
+    table.overwrite(read(spark, FOLDER, "orders"))
+    plan = table.changes_since("2")._jdf.queryExecution().executedPlan().toString()
+    table.overwrite(read(spark, FOLDER, "orders"), "3")
+    plan = plan_of(table.snapshot().where("o_totalprice > 5").select("o_custkey"))
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,5.0)]" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in plan
+
+
+def test_a_side_over_the_threshold_is_not_broadcast(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="1000")
+    joined = lookup(read(spark, FOLDER, "orders"), read(spark, FOLDER, "customer"), "o_custkey", "c_custkey", {"n": "c_name"})
+    assert "SortMergeJoin" in plan_of(joined) and "Broadcast" not in plan_of(joined)
+
+
+SMALL_SKEW = dict(
+    spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="60KB",
+    spark__sql__adaptive__skewJoin__skewedPartitionFactor="2.0",
+    spark__sql__adaptive__advisoryPartitionSizeInBytes="30KB",
+)
+
+
+def hot(spark):
+    """A third of 200,000 rows has the key 7."""
+    return spark.range(200_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+
+
+def test_a_hot_key_is_split_in_a_lookup_also_before_a_grouping_by_that_key(spark, settings):
+    settings(**SMALL_SKEW)
+    dim = spark.range(1000).select(F.col("id").alias("d"), F.concat(F.lit("n"), "id").alias("name"))
+    for how in ("left", "inner"):
+        rows = one_per_key(lookup(hot(spark), dim, "k", "d", {"name": "name"}, how), ["k"], ["v"])
+        assert rows.collect() and "skew=true" in plan_of(rows)
+        assert rows.count() == 1000
+
+
+def test_a_hot_key_is_split_on_the_many_side_of_a_fan_out(spark, settings):
+    settings(**SMALL_SKEW)
+    stock = spark.range(1500).select(F.col("id").alias("s"))
+    rows = left_fan_out(stock, hot(spark), "s", "k")
+    got = {r.s: r.n for r in rows.groupBy("s").agg(F.count("v").alias("n")).collect()}
+    expected = {r.k: r.n for r in hot(spark).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert got == {s: expected.get(s, 0) for s in range(1500)}
+    rows.collect()
+    assert "skew=true" in plan_of(rows)
+
+
+def test_a_hot_key_is_split_among_ties(spark, settings):
+    settings(**SMALL_SKEW)
+    rows = newest_rows(hot(spark).withColumn("t", F.lit(1)), ["k"], ["t"])
+    assert len(rows.collect()) == 200_000 and "skew=true" in plan_of(rows)
+
+
+def test_tune_sets_a_foreign_session(spark):
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    tune(spark)
+    assert all(spark.conf.get(name) == value for name, value in RUNTIME_CONF.items())
