@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from predia.fixed_values import CUSTOMER_TABLES
 from predia.plans.products.leads import leads
 from predia.plans.products.offers import property_offers
 from predia.plans.products.profiles import customer_profile
 from predia.plans.products.properties import properties_and_projects
 from predia.plans.products.services import service_catalog, services_per_user
 from predia.plans.products.users import app_users
+from predia.sources.config import JobConfig
 from predia.sources.keyed_table import KeyedTable
 
 
@@ -50,3 +52,19 @@ def publish(name: str, tables: Mapping[str, DataFrame], target: KeyedTable, as_o
     """
     rows = PRODUCTS[name].build(tables, as_of, **kwargs)
     return target.overwrite(rows) if replace else target.upsert(rows, ["dt_product_hudi_date_time"])
+
+
+def refresh(
+    spark: SparkSession, job: JobConfig, marketplace_schema: str, customer_schema: str, names=tuple(PRODUCTS),
+    as_of=None, replace: bool = False, table_type: str = "COPY_ON_WRITE",
+) -> dict[str, str | None]:
+    """Build products from the curated tables of a job and publish them beside these, under the schema ``products``."""
+    commits = {}
+    for name in names:
+        tables = {}
+        for table in PRODUCTS[name].reads:
+            schema = customer_schema if table in CUSTOMER_TABLES else marketplace_schema
+            tables[table] = KeyedTable(spark, job.target(schema, table)).snapshot()
+        target = KeyedTable(spark, job.target("products", name), PRODUCTS[name].key, table_type=table_type)
+        commits[name] = publish(name, tables, target, as_of, replace)
+    return commits

@@ -84,12 +84,18 @@ class KeyedTable:
         return f"{self.path}/{kind}/commit={commit}"
 
     def _read(self, commit: str, kind: str) -> DataFrame:
-        folder = self._folder(commit, kind)
-        schema = T.StructType.fromJson(json.loads(files.read_text(self.spark, f"{folder}/_schema.json")))
-        return self.spark.read.schema(schema).parquet(folder)
+        return self._read_all([commit], kind)
 
     def _read_all(self, commits: list[str], kind: str) -> DataFrame:
-        return union_branches(*[self._read(commit, kind) for commit in commits])
+        """The rows of several commits: one scan for all commits of one schema."""
+        by_schema: dict[str, list[str]] = {}
+        for commit in commits:
+            folder = self._folder(commit, kind)
+            by_schema.setdefault(files.read_text(self.spark, f"{folder}/_schema.json"), []).append(folder)
+        return union_branches(*[
+            self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*folders)
+            for schema, folders in by_schema.items()
+        ])
 
     def _deltas(self, commits: list[str]) -> DataFrame:
         """The newest change per key of several commits."""

@@ -10,9 +10,13 @@ from predia.fixed_values import (
 )
 from predia.operators.schema import parse_schema
 from predia.plans.marts import MARTS
-from predia.plans.products import PRODUCTS, publish
+from predia.fixed_values import CUSTOMER_TABLES
+from predia.plans.curated import load_all
+from predia.plans.products import PRODUCTS, publish, refresh
 from predia.session import scratch_path
+from predia.sources.config import JobConfig
 from predia.sources.keyed_table import KeyedTable
+from predia.workload.storage_queries import feed_files
 
 AS_OF = "2024-06-30 12:00:00"
 DAY = dt.datetime(2024, 6, 1)
@@ -324,3 +328,19 @@ def test_marts(tables):
     assert sorted(r.id_publication for r in demand) == ["P10", "P10", "P11", "P12", "P16", "PY1-A", "PY1-B", "PY2"]
     assert {r["dt_creation_date[leads]"] for r in demand} == {20240601, None} and {r.ds_country for r in demand} == {"Colombia"}
     assert marts["supply_demand"].schema["ds_country"].metadata == {"geographic_role": "COUNTY"}
+
+
+def test_from_raw_files_to_products(spark, tables, built):
+    """Feed files of every table, full load, products: the same offers and profiles as from the frames."""
+    root = scratch_path(spark, "whole")
+    job = JobConfig(f"{root}/raw", f"{root}/lake")
+    names = ("property_offers", "customer_profile")
+    for table in {t for name in names for t in PRODUCTS[name].reads}:
+        schema = "clientes" if table in CUSTOMER_TABLES else "mercado"
+        feed = tables[table].selectExpr("*", "'I' AS Op", "'2024-01-01 00:00:00' AS field_timestamp")
+        feed_files(feed.coalesce(1), job.source(schema, table), "LOAD")
+    load_all(spark, job, "fl")
+    refresh(spark, job, "mercado", "clientes", names, AS_OF)
+    for name in names:
+        stored = KeyedTable(spark, job.target("products", name)).snapshot()
+        assert {r[PRODUCTS[name].key]: r for r in stored.collect()} == built[name]
