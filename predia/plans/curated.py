@@ -10,6 +10,7 @@ from predia.fixed_values import FEED_STAMP, STAMP, TEXT_DATES
 from predia.operators.changes import stamp
 from predia.operators.cleaning import clean_strings
 from predia.operators.schema import dates_as_text
+from predia.plans.together import run_together
 from predia.sources.config import JobConfig, TableConfig, discover_tables, table_config
 from predia.sources.keyed_table import KeyedTable
 from predia.sources.readers import read_table
@@ -41,8 +42,12 @@ def load_table(
 
 def load_all(
     spark: SparkSession, job: JobConfig, mode: str, tables: Iterable[tuple[str, str]] | None = None,
+    table_type: str = "COPY_ON_WRITE", parallel: int = 4,
 ) -> dict[tuple[str, str], str | None]:
-    """Every listed table, or every table found in the source folders."""
+    """Every listed table, or every table found in the source folders, a few at a time."""
     if tables is None:
         tables = discover_tables(spark, "/".join(p for p in (job.source_root, job.route) if p))
-    return {(schema, table): load_table(spark, job, schema, table, mode) for schema, table in tables}
+    return run_together(spark, {
+        (schema, table): lambda schema=schema, table=table: load_table(spark, job, schema, table, mode, None, table_type)
+        for schema, table in tables
+    }, parallel)

@@ -14,6 +14,7 @@ from predia.plans.products.profiles import customer_profile
 from predia.plans.products.properties import properties_and_projects
 from predia.plans.products.services import service_catalog, services_per_user
 from predia.plans.products.users import app_users
+from predia.plans.together import run_together
 from predia.sources.config import JobConfig
 from predia.sources.keyed_table import KeyedTable
 
@@ -56,15 +57,15 @@ def publish(name: str, tables: Mapping[str, DataFrame], target: KeyedTable, as_o
 
 def refresh(
     spark: SparkSession, job: JobConfig, marketplace_schema: str, customer_schema: str, names=tuple(PRODUCTS),
-    as_of=None, replace: bool = False, table_type: str = "COPY_ON_WRITE",
+    as_of=None, replace: bool = False, table_type: str = "COPY_ON_WRITE", parallel: int = 4,
 ) -> dict[str, str | None]:
     """Build products from the curated tables of a job and publish them beside these, under the schema ``products``."""
-    commits = {}
-    for name in names:
+    def one(name: str) -> str | None:
         tables = {}
         for table in PRODUCTS[name].reads:
             schema = customer_schema if table in CUSTOMER_TABLES else marketplace_schema
             tables[table] = KeyedTable(spark, job.target(schema, table)).snapshot()
         target = KeyedTable(spark, job.target("products", name), PRODUCTS[name].key, table_type=table_type)
-        commits[name] = publish(name, tables, target, as_of, replace)
-    return commits
+        return publish(name, tables, target, as_of, replace)
+
+    return run_together(spark, {name: lambda name=name: one(name) for name in names}, parallel)

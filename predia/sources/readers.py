@@ -31,7 +31,8 @@ def read_table(
 ) -> DataFrame:
     """All files under ``path``, its subfolders too.
 
-    CSV has a header, commas and double quotes. JSON files hold one document each, its records under the field
+    CSV has a header, commas and double quotes; a text with line breaks needs ``multiLine=True``, which makes every file
+    one task. JSON files hold one document each, its records under the field
     ``record_path`` (a record, or a list of them); with ``None`` the document is the record. ``keyed`` reads the
     current rows of a keyed table.
     """
@@ -45,7 +46,7 @@ def read_table(
     if fmt == "parquet":
         return of_mode(reader.options(**options).parquet(path), mode)
     if fmt == "csv":
-        defaults = {"header": True, "quote": '"', "escape": '"', "sep": ",", "multiLine": True}
+        defaults = {"header": True, "quote": '"', "escape": '"', "sep": ","}
         return of_mode(reader.options(**{**defaults, **options}).csv(path), mode)
     if fmt == "json":
         documents = of_mode(reader.options(**{"multiLine": True, **options}).json(path), mode)

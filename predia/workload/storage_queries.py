@@ -65,15 +65,15 @@ def _(spark, folder):
     rows = read(spark, folder, "documents").select("doc_id", "text", "source")
     rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/a/b")
-    return read_table(spark, path, "csv")
+    return read_table(spark, path, "csv", multiLine=True)
 
 
 @query("json_round_trip", "SELECT event_id, user_id, event_type, value FROM events")
 def _(spark, folder):
     path = scratch_path(spark, "json")
     record = F.struct("event_id", "user_id", "event_type", "value")
-    # A document holds at most a thousand records, whatever the size of the table.
-    documents = read(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 1000).alias("page")).agg(
+    # A document holds at most fifty thousand records, whatever the size of the table.
+    documents = read(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 50_000).alias("page")).agg(
         F.collect_list(record).alias("id"))
     documents.select(F.to_json(F.struct("id")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     schema = "id ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT, event_type: STRING, value: DOUBLE>>"

@@ -46,7 +46,9 @@ def test_unknown_format(spark, path):
 
 def test_csv_with_quotes_commas_and_line_breaks(spark, path, rows):
     files.write_text(spark, f"{path}/a/x.csv", 'id,text\n1,"a, ""b""\nc"\n2,\n')
-    assert rows(read_table(spark, path, "csv")) == [("1", 'a, "b"\nc'), ("2", None)]
+    assert rows(read_table(spark, path, "csv", multiLine=True)) == [("1", 'a, "b"\nc'), ("2", None)]
+    files.write_text(spark, f"{path}/a/x.csv", 'id,text\n1,"a, ""b"""\n')
+    assert rows(read_table(spark, path, "csv")) == [("1", 'a, "b"')]
 
 
 def test_json_records_of_every_shape(spark, path, rows):
@@ -215,6 +217,10 @@ def test_full_load_then_changes(spark, path, rows):
     assert rows(table.snapshot(), "id", "name", "transaction_date_time") == [(1, "a", first), (2, None, first)]
     load_table(spark, job, "shop", "usuario", "cdc")
     assert rows(table.snapshot(), "id", "name") == [(2, None), (3, "")]
+    with pytest.raises(ExceptionGroup) as failed:
+        load_all(spark, job, "cdc", [("shop", "rol"), ("shop", "usuario")])
+    assert len(failed.value.exceptions) == 1, "the other table was loaded all the same"
+    assert len(table.commits()) == 3
     assert "p_usuario_tb" in table.path and set(table.snapshot().columns) == {"id", "name", "transaction_date_time"}
 
 
