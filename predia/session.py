@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -51,6 +52,11 @@ def build_session(app: str = "predia", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="predia-")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -60,6 +66,5 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="predia-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/predia/{purpose}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from predia.plans.curated import curate, curated_table, load_all, load_table
 from predia.plans.mapped_load import run_configured_load, run_mapped_load
+from predia.plans.together import run_together
 from predia.session import scratch_path
 from predia.sources import files
 from predia.sources.config import (
@@ -296,3 +297,32 @@ def test_commits_are_stamped_on_rows(spark, path, rows):
 def test_scratch_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{root}/") and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class FakeSession:
+    """Only the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default=None):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(FakeSession(spark_master="yarn"), "x")
+    shared = FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert scratch_path(shared, "x").startswith("hdfs:///shared/predia/x-")
+    assert scratch_path(FakeSession(spark_master="local[2]"), "x").startswith("/")
+
+
+def test_jobs_run_together_and_all_failures_are_raised(spark):
+    def fail(text):
+        raise ValueError(text)
+
+    assert run_together(spark, {n: lambda n=n: spark.range(n).count() for n in (1, 2, 3)}, 2) == {1: 1, 2: 2, 3: 3}
+    with pytest.raises(ExceptionGroup) as failed:
+        run_together(spark, {1: lambda: fail("a"), 2: lambda: 2, 3: lambda: fail("c")}, 1)
+    assert [str(e) for e in failed.value.exceptions] == ["a", "c"]
