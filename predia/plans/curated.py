@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from predia.fixed_values import FEED_STAMP, STAMP, TEXT_DATES
@@ -12,8 +13,9 @@ from predia.operators.cleaning import clean_strings
 from predia.operators.schema import dates_as_text
 from predia.plans.together import run_together
 from predia.sources.config import JobConfig, TableConfig, discover_tables, table_config
-from predia.sources.keyed_table import KeyedTable
+from predia.sources.keyed_table import KeyedTable, MissingTableError
 from predia.sources.readers import read_table
+from predia.streaming.change_stream import read_new_files, stream_changes
 
 
 def curate(raw: DataFrame, feed_stamp: str = FEED_STAMP, text_dates: Iterable[str] = ()) -> DataFrame:
@@ -31,13 +33,34 @@ def curated_table(
 
 def load_table(
     spark: SparkSession, job: JobConfig, schema: str, table: str, mode: str, config: TableConfig | None = None,
-    table_type: str = "COPY_ON_WRITE", **kwargs,
+    table_type: str = "COPY_ON_WRITE", guard_late: bool = False, max_files: int | None = None,
 ) -> str | None:
-    """One table in one mode, ``fl`` or ``cdc``; gives the commit, or None when there was nothing to write."""
+    """One table in one mode; gives the last commit, or None when there was nothing to write.
+
+    ``fl`` takes the full-load files, all of them each time. ``cdc`` takes the change files that no earlier run took:
+    a stream's checkpoint beside the table remembers them, so a run costs what is new.
+    """
     config = config or table_config(table)
-    raw = read_table(spark, job.source(schema, table), job.file_format, mode)
-    rows = curate(raw, config.precomb_key or FEED_STAMP, TEXT_DATES.get(table, ()))
-    return curated_table(spark, job, schema, table, config, table_type).write(rows, mode, [STAMP], **kwargs)
+    source, target = job.source(schema, table), curated_table(spark, job, schema, table, config, table_type)
+    feed_stamp, text_dates = config.precomb_key or FEED_STAMP, TEXT_DATES.get(table, ())
+    if mode != "cdc":
+        return target.write(curate(read_table(spark, source, job.file_format, mode), feed_stamp, text_dates), mode, [STAMP])
+    before = target.last_commit()
+    if before is None:
+        raise MissingTableError(f"{target.path} does not exist. Run Full Load First.")
+    try:
+        columns = read_table(spark, source, job.file_format, mode).schema
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None  # no change file yet
+        raise
+    arriving = read_new_files(spark, source, columns, job.file_format, mode, max_files)
+    stream_changes(
+        arriving, target, [STAMP], f"{target.path}/checkpoint", guard_late=guard_late,
+        prepare=lambda batch: curate(batch, feed_stamp, text_dates),
+    ).awaitTermination()
+    after = target.last_commit()
+    return after if after != before else None
 
 
 def load_all(

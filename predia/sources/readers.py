@@ -13,16 +13,17 @@ class NotFormatFoundError(ValueError):
     """No reader for the asked format."""
 
 
-# Full-load files are named LOAD…, change files start with their date; each mode skips the other's files.
-_SKIPPED = {None: None, "cdc": "LOAD%", "fl": "2%"}
+# Full-load files are named LOAD…, change files start with their date; each mode skips the other's files. The first
+# pattern is "does not start with LOAD". Other files are not even listed, so they do not decide the schema either.
+_FILES = {None: None, "cdc": "{[^L]*,L[^O]*,LO[^A]*,LOA[^D]*}", "fl": "[^2]*"}
 
 
-def of_mode(df: DataFrame, mode: str | None) -> DataFrame:
-    """Rows of the files that belong to an ingestion mode; Spark prunes the other files before reading them."""
-    if mode not in _SKIPPED:
+def of_mode(reader, mode: str | None):
+    """A batch or stream reader of the files that belong to an ingestion mode, in all subfolders."""
+    if mode not in _FILES:
         raise ValueError(f"unknown ingestion mode {mode!r}: use 'cdc', 'fl' or None")
-    skipped = _SKIPPED[mode]
-    return df if skipped is None else df.where(~F.col("_metadata.file_name").like(skipped))
+    reader = reader.option("recursiveFileLookup", True)
+    return reader if _FILES[mode] is None else reader.option("pathGlobFilter", _FILES[mode])
 
 
 def read_table(
@@ -40,16 +41,16 @@ def read_table(
         from predia.sources.keyed_table import KeyedTable
 
         return KeyedTable(spark, path).snapshot()
-    reader = spark.read.option("recursiveFileLookup", True)
+    reader = of_mode(spark.read, mode)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "parquet":
-        return of_mode(reader.options(**options).parquet(path), mode)
+        return reader.options(**options).parquet(path)
     if fmt == "csv":
         defaults = {"header": True, "quote": '"', "escape": '"', "sep": ","}
-        return of_mode(reader.options(**{**defaults, **options}).csv(path), mode)
+        return reader.options(**{**defaults, **options}).csv(path)
     if fmt == "json":
-        documents = of_mode(reader.options(**{"multiLine": True, **options}).json(path), mode)
+        documents = reader.options(**{"multiLine": True, **options}).json(path)
         return documents if record_path is None else _records(documents, record_path)
     raise NotFormatFoundError(fmt)
 

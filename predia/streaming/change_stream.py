@@ -17,10 +17,10 @@ def read_new_files(
     max_files: int | None = None,
 ) -> DataFrame:
     """A streaming frame over the files of an ingestion mode; a query's checkpoint remembers which were read."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    reader = of_mode(spark.readStream, mode).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return of_mode(reader.format(fmt).load(path), mode)
+    return reader.format(fmt).load(path)
 
 
 def stream_changes(
@@ -40,6 +40,8 @@ def stream_changes(
     origin = last.split("-")[0]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        # Streams run without adaptive execution; a batch in here is an ordinary frame and gets it back.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         rows = batch if prepare is None else prepare(batch)
         table.apply_changes(rows, order, op, guard_late, commit=f"{origin}-{batch_id:012d}")
 

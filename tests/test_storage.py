@@ -221,10 +221,41 @@ def test_full_load_then_changes(spark, path, rows):
     with pytest.raises(ExceptionGroup) as failed:
         load_all(spark, job, "cdc", [("shop", "rol"), ("shop", "usuario")])
     assert len(failed.value.exceptions) == 1, "the other table was loaded all the same"
-    assert len(table.commits()) == 3
+    assert len(table.commits()) == 2
+    assert load_table(spark, job, "shop", "usuario", "cdc") is None, "no new file"
+    feed_files(raw(spark, [("I", 1, "back", "2024-01-03 00:00:00"), ("U", 2, "old", "2023-01-01 00:00:00")]), source,
+               "20240103-")
+    assert load_table(spark, job, "shop", "usuario", "cdc", guard_late=True) == table.last_commit()
+    assert rows(table.snapshot(), "id", "name") == [(1, "back"), (2, None), (3, "")]
     assert "p_usuario_tb" in table.path and set(table.snapshot().columns) == {"id", "name", "transaction_date_time"}
 
 
+def test_full_load_files_without_envelope_and_no_change_files(spark, path, rows):
+    job = JobConfig(f"{path}/raw", f"{path}/lake")
+    source = job.source("shop", "rol")
+    feed_files(raw(spark, [("I", 1, "a", "2024-01-01")]).drop("Op"), source, "LOAD")
+    with pytest.raises(MissingTableError):
+        load_table(spark, job, "shop", "rol", "cdc")
+    load_table(spark, job, "shop", "rol", "fl")
+    assert load_table(spark, job, "shop", "rol", "cdc") is None
+    feed_files(raw(spark, [("D", 1, "a", "2024-01-02"), ("I", 2, "b", "2024-01-02")]), source, "20240102-")
+    load_table(spark, job, "shop", "rol", "cdc", table_type="MERGE_ON_READ")
+    assert rows(curated_table(spark, job, "shop", "rol").snapshot(), "id", "name") == [(2, "b")]
+
+
+def test_batches_of_a_stream_are_planned_adaptively(spark, path):
+    table = make(spark, f"{path}/t")
+    deliver(spark, f"{path}/landing", [(1, "u", 2, "U")], "2024-a-")
+    plans = []
+
+    def look(batch):
+        plans.append(batch.groupBy("id").count()._jdf.queryExecution())
+        return batch
+
+    start(spark, path, table, prepare=look).awaitTermination()
+    assert "AdaptiveSparkPlan" in plans[0].executedPlan().toString()
+
+
 def test_mapped_loads(spark, path, rows):
     spark.createDataFrame([("1", "x"), ("2", "y")], "n string, t string").write.parquet(f"{path}/in")
     mapping = {"a": {"old": {"name": "n", "type": "string"}, "new": {"name": "id", "type": "int"}}}
