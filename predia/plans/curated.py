@@ -12,6 +12,7 @@ from predia.operators.changes import stamp
 from predia.operators.cleaning import clean_strings
 from predia.operators.schema import dates_as_text
 from predia.plans.together import run_together
+from predia.session import size_shuffles
 from predia.sources.config import JobConfig, TableConfig, discover_tables, table_config
 from predia.sources.keyed_table import KeyedTable, MissingTableError
 from predia.sources.readers import read_table
@@ -70,6 +71,8 @@ def load_all(
     """Every listed table, or every table found in the source folders, a few at a time."""
     if tables is None:
         tables = discover_tables(spark, "/".join(p for p in (job.source_root, job.route) if p))
+    tables = list(tables)
+    size_shuffles(spark, *[job.source(schema, table) for schema, table in tables])
     return run_together(spark, {
         (schema, table): lambda schema=schema, table=table: load_table(spark, job, schema, table, mode, None, table_type)
         for schema, table in tables

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from predia.sources import files
+
 # Run-time settings the operators rely on. Joins carry no broadcast hint: Spark broadcasts a side only when its
 # size, estimated from the files or measured after a shuffle, is under the threshold, and sort-merges beyond it.
 # A hot key in a sort-merge join is split by AQE, also where the next operator would have reused the partitioning.
@@ -34,6 +37,8 @@ STATIC_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+MOST_PARTITIONS = 100_000
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session that somebody else built."""
@@ -52,6 +57,19 @@ def build_session(app: str = "predia", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, *paths: str, file_bytes: int = 64 << 20) -> int:
+    """Start every shuffle with one partition per ``file_bytes`` of input, and never with fewer than the session asks.
+
+    Adaptive execution merges partitions that turn out small but cannot split one that is too large for a task, so the
+    start has to follow the size of the data.
+    """
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = math.ceil(sum(files.size(spark, path) for path in paths) / file_bytes)
+    partitions = max(asked, min(needed, MOST_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    return partitions
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="predia-")

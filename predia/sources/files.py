@@ -25,6 +25,18 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory())
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern matches, in one listing."""
+    fs, location = file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(location) or [])
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``; none when it does not exist."""
+    fs, location = file_system(spark, path)
+    return fs.getContentSummary(location).getLength() if fs.exists(location) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, location = file_system(spark, path)
     if not fs.exists(location):

@@ -58,11 +58,9 @@ class KeyedTable:
 
     def commits(self, kind: str | None = None, before: str | None = None) -> list[tuple[str, str]]:
         """(commit id, kind) of the finished commits in order of time."""
-        found = []
-        for each in ("full", "more", "delta") if kind is None else (kind,):
-            for folder in files.folders(self.spark, f"{self.path}/{each}"):
-                if files.exists(self.spark, f"{self.path}/{each}/{folder}/_schema.json"):
-                    found.append((folder.removeprefix("commit="), each))
+        marks = files.matches(self.spark, f"{self.path}/{kind or '*'}/commit=*/_schema.json")
+        parts = [mark.split("/")[-3:-1] for mark in marks]
+        found = [(folder.removeprefix("commit="), each) for each, folder in parts]
         return sorted(c for c in found if before is None or c[0] < before)
 
     def exists(self) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from predia.operators.changes import apply_changes
 from predia.operators.enrich import left_fan_out, lookup, pivot_attributes
 from predia.operators.latest import newest_rows, one_per_key
-from predia.session import RUNTIME_CONF, scratch_path, tune
+from predia.session import RUNTIME_CONF, scratch_path, size_shuffles, tune
 from predia.sources.keyed_table import KeyedTable
 from predia.workload.standins import read
 
@@ -123,3 +123,13 @@ def test_tune_sets_a_foreign_session(spark):
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
     tune(spark)
     assert all(spark.conf.get(name) == value for name, value in RUNTIME_CONF.items())
+
+
+def test_shuffles_start_with_the_size_of_the_data(spark):
+    assert size_shuffles(spark, FOLDER) == 8, "small data: what the session asks"
+    wide = size_shuffles(spark, FOLDER, f"{FOLDER}/absent", file_bytes=10_000)
+    assert 100 < wide < 1000
+    rows = one_per_key(read(spark, FOLDER, "events"), ["user_id"], ["ts"])
+    assert "hashpartitioning(user_id" in plan_of(rows) and f", {wide})" in plan_of(rows)
+    assert size_shuffles(spark, FOLDER, file_bytes=1) == 100_000
+    size_shuffles(spark)
