@@ -1,9 +1,9 @@
 """Keyed tables as parquet folders.
 
 A plain convention over ``DataFrame.write``: every commit writes one new folder, ``full/commit=<id>`` with all rows,
-``more/commit=<id>`` with added rows or ``delta/commit=<id>`` with changed rows, and then its ``_schema.json``. A folder without that file is not
-there for readers, so a job that dies half way leaves the table as it was. Writing the same commit again replaces its
-folder. Where a lakehouse format is installed, the same operators can feed its MERGE instead.
+``more/commit=<id>`` with added rows or ``delta/commit=<id>`` with changed rows, and then its ``_schema.json``. A
+folder without that file is not there for readers, so a job that dies half way leaves the table as it was. Writing the
+same commit again replaces its folder. Where a lakehouse format is installed, the same operators can feed its MERGE.
 
 Changes are always settled to one row per key and written first. With ``MERGE_ON_READ`` that delta is the commit:
 readers lay the deltas over the last full folder, and ``compact`` folds them in. With ``COPY_ON_WRITE`` the written
