@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry_points
 from check_oracles import TABLES, rows_of, types_of
+from predia.workload import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"surrogate_key_counted"}
@@ -26,7 +27,7 @@ def database():
     return base
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, database, name):
     df = entry_points.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -41,7 +42,7 @@ def test_query_equals_its_sql(spark, database, name):
 
 
 def test_only_known_queries_lack_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert not set(entry_points.oracle_sql()) - set(entry_points.queries())
 
 
