@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from predia.llm import exact_dedup, quality_rules, toxicity
+from predia.llm import exact_dedup, jaccard_join, packing, quality_rules, toxicity
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -94,6 +99,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op9_packing")
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 DEDUP_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
