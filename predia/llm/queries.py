@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from predia.llm import exact_dedup, jaccard_join, packing, quality_rules, toxicity
+from predia.llm import (chat_format, exact_dedup, jaccard_join, license_scan, packing, quality_rules, sentencepiece_fst,
+                        token_counts, toxicity)
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).drop("blocks")
+
+
 @query("op2_jaccard_join")
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
@@ -33,6 +40,41 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g'))
+    + length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'),
+        '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g'))
+    + length('<|im_start|>') + length('<|im_end|>') + 2 AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars,
+  regexp_full_match(string_agg(role, ' ' ORDER BY turn, role, text), '(system )?user assistant( user assistant)*') AS valid
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op4_chat_format", CHAT_SQL)
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return chat_format.digests(chat_format.segments(turns.unionByName(control)))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.length_table(table(spark, folder, "documents"))
+
+
 QUALITY_SQL = r"""
 WITH texts AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
 worded AS (
@@ -99,6 +141,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_fst.encode_decode(table(spark, folder, "documents"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
