@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predia.llm import (chat_format, exact_dedup, jaccard_join, license_scan, packing, quality_rules, sentencepiece_fst,
-                        token_counts, toxicity)
+from predia.llm import (chat_format, exact_dedup, jaccard_join, kneser_ney, license_scan, packing, quality_rules,
+                        sentencepiece_fst, token_counts, toxicity)
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(chat_format.segments(turns.unionByName(control)))
 
 
+@query("op5_kneser_ney")
+def op5_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.length_table(table(spark, folder, "documents"))
