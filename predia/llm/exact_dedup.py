@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from predia.llm.common import WHITE_SPACE, new_name, settle
 
 ENTRY = "shard int, digest binary, n_rows long, chars long, doc_id long, row long"
 STATE = f"kind string, {ENTRY}, slots binary"
+STATE_ARROW = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("digest", pa.binary()), ("n_rows", pa.int64()),
+                         ("chars", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("slots", pa.binary())])
 SLOTS = 4
 KICKS = 500
 NO_ID = 2 ** 63 - 1
@@ -133,23 +136,22 @@ def combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield best[["shard", "digest", "n_rows", "chars", "doc_id", "row"]]
 
 
-def kept_state(shard: int, state: Shard) -> Iterator[pd.DataFrame]:
+def kept_state(shard: int, state: Shard) -> pa.RecordBatch:
     """The filter and the keys of a shard as rows."""
-    names = ["kind", "shard", "digest", "n_rows", "chars", "doc_id", "row", "slots"]
-    keys = [("key", shard, d, *e, None) for d, e in state.keys.items()]
-    yield pd.DataFrame([("filter", shard, None, None, None, None, None, state.filter.table.tobytes()), *keys],
-                       columns=names).astype({c: "Int64" for c in ("n_rows", "chars", "doc_id", "row")})
+    keys = [("key", shard, digest, *entry, None) for digest, entry in state.keys.items()]
+    rows = [("filter", shard, None, None, None, None, None, state.filter.table.tobytes()), *keys]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STATE_ARROW)], STATE_ARROW.names)
 
 
-def worked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Apply the entries of a partition, which come sorted by shard and step, one shard after the other."""
     number, state = None, Shard()
     for batch in batches:
         for kind, shard, digest, n_rows, chars, doc_id, row, slots in zip(
-                *(batch[c].tolist() for c in ("kind", "shard", "digest", "n_rows", "chars", "doc_id", "row", "slots"))):
+                *(batch[name].to_pylist() for name in STATE_ARROW.names)):
             if shard != number:
                 if number is not None:
-                    yield from kept_state(number, state)
+                    yield kept_state(number, state)
                 number, state = shard, Shard()
             if kind == "filter":
                 stored = np.frombuffer(slots, np.uint32).reshape(-1, SLOTS).copy()
@@ -161,7 +163,7 @@ def worked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 state.insert(digest, n_rows, chars, doc_id, row)
     if number is not None:
-        yield from kept_state(number, state)
+        yield kept_state(number, state)
 
 
 @dataclass(frozen=True)
@@ -197,7 +199,7 @@ class CuckooIndex:
         steps = change if self.state is None else self.state.unionByName(change)
         first = F.when(F.col("kind") == "filter", 0).when(F.col("kind") == "key", 1).otherwise(2)
         done = (steps.withColumn("step", first).repartition(self.shards, "shard")
-                .sortWithinPartitions("shard", "step").drop("step").mapInPandas(worked, STATE))
+                .sortWithinPartitions("shard", "step").drop("step").mapInArrow(worked, STATE))
         return CuckooIndex(self.spark, self.shards, settle(done, "cuckoo-index"))
 
     def keys(self) -> DataFrame:
