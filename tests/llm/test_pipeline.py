@@ -1,0 +1,74 @@
+"""The pipeline against a brute-force version of its stages, and the registered queries against their SQL."""
+
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from check_oracles import TABLES, rows_of, types_of
+from predia.llm import queries, toxicity
+from predia.llm.common import powers, settle, shingle_set, table
+from tests_brute import exact_groups, near_classes
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def database():
+    base = duckdb.connect()
+    for name in TABLES:
+        base.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    return base
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, database, name):
+    mine = queries.QUERIES[name](spark, FOLDER).toArrow()
+    theirs = database.sql(queries.ORACLES[name]).to_arrow_table()
+    assert types_of(mine) == types_of(theirs)
+    assert rows_of(mine) == rows_of(theirs)
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = entry_points.queries()
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_against_brute_force(spark, database):
+    docs = table(spark, FOLDER, "documents")
+    labels = table(spark, FOLDER, "labels")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = settle(stage(spark, docs, FOLDER), "test-stage")
+        assert docs.columns == before.columns
+        kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+    all_texts = {r["doc_id"]: r["text"] for r in table(spark, FOLDER, "documents").collect()}
+    toxic = {r["doc_id"] for r in toxicity.toxicity(table(spark, FOLDER, "documents"), labels).collect() if r["predicted"]}
+    assert set(kept["toxicity"]) == set(all_texts) - toxic
+
+    # The SQL of the rules, on the documents that came through.
+    ids = ",".join(map(str, kept["toxicity"]))
+    sql = queries.QUALITY_SQL.replace("FROM documents)", f"FROM documents WHERE doc_id IN ({ids}))", 1)
+    good = {i for i, ok in database.sql(f"SELECT doc_id, kept FROM ({sql})").fetchall() if ok}
+    assert set(kept["quality rules"]) == good
+
+    stay = exact_groups(kept["quality rules"])
+    assert set(kept["exact dedup"]) == stay
+    classes = near_classes({i: shingle_set(t or "", powers()).tolist() for i, t in kept["exact dedup"].items()})
+    assert set(kept["n-gram Jaccard join"]) == {i for i, c in classes.items() if i == c}
+
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+    assert {r["doc_id"] for r in pieces} == set(kept["n-gram Jaccard join"])
+
+
+def test_run_gives_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, FOLDER)
+    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert rows.count() > 0

@@ -1,0 +1,90 @@
+import math
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from predia.llm import quality_rules as X
+
+
+def brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    repeated = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(repeated))
+
+
+TEXTS = [None, "", " \n\t ", "a", "a b", "a b c", "a b c a b c", "a a a a", "x y z\nx y z\n\nx y z ", "a b c d",
+         "\U0001f389 é # $ <|>", "one\r\ntwo\r\none\r\n", "w " * 5000, "\x0bv\x0c", "a b a b a b a", "Aé É!! BIG #"]
+
+
+def test_counts_against_brute_force(documents):
+    rng = random.Random(3)
+    texts = TEXTS + [" ".join(rng.choice(["a", "b", "c\n", "é"]) for _ in range(n)) for n in range(0, 120, 7)]
+    docs = documents(*enumerate(texts), (None, "a b"))
+    rows = X.measures(docs)
+    got = {r["doc_id"]: tuple(r["measures"])[:5] for r in rows.where("doc_id is not null").collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_allowed_rejections_is_the_exact_bound(spark):
+    def most(n, risk, level):
+        best, total = -1, 0.0
+        for k in range(int(n * risk) + 1):
+            total += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+                              + k * math.log(risk) + (n - k) * math.log1p(-risk))
+            if total <= level:
+                best = k
+        return best
+
+    sizes = [0, 1, 50, 299, 300, 1000, 5000]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long")
+    for risk, level in ((0.01, 0.05), (0.004, 0.0025), (0.1, 0.2)):
+        got = {r["n"]: r["k"] for r in df.select("n", X.allowed_rejections(F.col("n"), risk, F.lit(level)).alias("k")).collect()}
+        assert got == {n: most(n, risk, level) for n in sizes}
+
+
+def plain(rng, n=60):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def test_cutoffs_keep_their_promise(documents, labelled):
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(2200):
+        bad = i % 11 == 0
+        text = plain(rng) + (" " + "%%% " * rng.randrange(20, 40) if bad else " #" * (i % 50 == 1))
+        rows.append((i, text, "en" if i % 20 else "rare"))
+        labels.append((i, 0 if bad else 1, 0))
+    settings = X.Settings(risk=0.05)
+    got = {r["doc_id"]: r for r in X.quality_rules(documents(*rows), labelled(*labels), settings).collect()}
+    good = [r for i, r in got.items() if i % 11 and i % 20 and not r["base_failed"]]
+    bad = [r for i, r in got.items() if not i % 11 and i % 20 and not r["base_failed"]]
+    assert sum(not r["kept"] for r in good) <= 0.05 * len(good)
+    assert sum(not r["kept"] for r in bad) > 0.9 * len(bad)
+    assert all("symbols" in r["rejected_by"] for r in bad if not r["kept"])
+    # Too few labels in the other language for any cutoff.
+    assert all(r["rejected_by"] == "" for i, r in got.items() if not i % 20)
+
+
+def test_base_rules_hold_without_labels(documents, labelled):
+    rng = random.Random(9)
+    docs = documents((1, plain(rng, 49)), (2, plain(rng, 50)), (3, "x y z " * 40), (4, None), (None, plain(rng)),
+                     (5, plain(rng), None), (5, plain(rng), None))
+    rows = X.quality_rules(docs, labelled()).collect()
+    assert sorted((r["doc_id"] or -1, r["base_failed"], r["kept"]) for r in rows) == [
+        (-1, False, True), (1, True, False), (2, False, True), (3, True, False), (4, True, False),
+        (5, False, True), (5, False, True)]
+    kept = X.only_good(docs, labelled((5, None, 1), (5, 2, 1), (None, 1, 1)))
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 2, 5, 5]
+    assert X.quality_rules(docs.where("false"), labelled()).count() == 0
+
+
+def test_main_path_is_native(documents, labelled):
+    docs = documents((1, "a b c"))
+    plan = X.measures(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan)
