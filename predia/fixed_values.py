@@ -38,6 +38,7 @@ TEXT_DATES = {
     "barrio": ("fecha",),
 }
 TEXT_DATE_LENGTH = 25
+LONG_TIME_PATTERN = "yyyy-MM-ddHH:mm:ss.SSSSSS"
 
 # Time pattern of the sources, and the zone of clock text.
 TIME_PATTERN = "yyyy-MM-ddHH:mm:ss.SSSZ"

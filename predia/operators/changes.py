@@ -41,14 +41,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Iterable[str], order: Ite
     """
     keys = list(keys)
     rows = one_per_key(source, keys, order)
-    kept = target.join(rows.select(*keys), keys, "left_anti")
+    kept = hard_delete(target, rows, keys)
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
 def hard_delete(target: DataFrame, removed: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """``target`` without the keys in ``removed``; unknown keys do nothing."""
+    """``target`` without the keys in ``removed``; unknown keys do nothing. A null key equals a null key."""
     keys = list(keys)
-    return target.join(removed.select(*keys), keys, "left_anti")
+    names = [f"_key{i}" for i in range(len(keys))]
+    gone = removed.select(*[quoted(k).alias(n) for k, n in zip(keys, names)])
+    return target.join(gone, [target[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)], "left_anti")
 
 
 def settle_changes(
@@ -68,11 +70,19 @@ def settle_changes(
 
 
 def without_late(settled: DataFrame, target: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
-    """Changes that are not older than the stored row of their key."""
+    """Changes that are not older than the stored row of their key.
+
+    First the stored rows of the changed keys are picked: there the changes are the side that Spark may broadcast, so
+    the stored table is not shuffled for a small batch.
+    """
     keys, order = list(keys), list(order)
-    stored = target.select(*keys, F.struct(*[quoted(c) for c in order]).alias("_stored"))
+    names = [f"_key{i}" for i in range(len(keys))]
+    stored = target.select(*[quoted(k).alias(n) for k, n in zip(keys, names)],
+                           F.struct(*[quoted(c) for c in order]).alias("_stored"))
+    same = [F.col(n).eqNullSafe(settled[k]) for k, n in zip(keys, names)]
+    old = stored.join(settled.select(*keys), same, "left_semi")
     fresh = F.col("_stored").isNull() | (F.struct(*[quoted(c) for c in order]) >= F.col("_stored"))
-    return settled.join(stored, keys, "left").where(fresh).drop("_stored")
+    return settled.join(old, same, "left").where(fresh).drop("_stored", *names)
 
 
 def apply_changes(

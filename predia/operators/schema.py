@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from predia.fixed_values import TEXT_DATE_LENGTH
+from predia.fixed_values import LONG_TIME_PATTERN, TEXT_DATE_LENGTH
 from predia.operators.cleaning import quoted
 
 
@@ -59,5 +59,15 @@ def add_surrogate_key(df: DataFrame, name: str, natural_key: Iterable[str] | Non
 
 
 def dates_as_text(df: DataFrame, columns: Iterable[str], length: int = TEXT_DATE_LENGTH) -> DataFrame:
-    """The columns, those of them that exist, as text of at most ``length`` characters."""
-    return df.withColumns({c: quoted(c).cast("string").substr(1, length) for c in columns if c in df.columns})
+    """The columns, those of them that exist, as text.
+
+    A time whose text is longer than ``length``, which one with microseconds is, is written by a pattern that fits and
+    loses nothing. Text stays as it is.
+    """
+    def text(name: str):
+        plain = quoted(name).cast("string")
+        if not isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+            return plain
+        return F.when(F.length(plain) > length, F.date_format(quoted(name), LONG_TIME_PATTERN)).otherwise(plain)
+
+    return df.withColumns({c: text(c) for c in columns if c in df.columns})

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from predia.fixed_values import FEED_STAMP, STAMP, TEXT_DATES
@@ -12,11 +11,10 @@ from predia.operators.changes import stamp
 from predia.operators.cleaning import clean_strings
 from predia.operators.schema import dates_as_text
 from predia.plans.together import run_together
-from predia.session import size_shuffles
-from predia.sources.config import JobConfig, TableConfig, discover_tables, table_config
+from predia.sources.config import ConfigError, JobConfig, TableConfig, discover_tables
 from predia.sources.keyed_table import KeyedTable, MissingTableError
 from predia.sources.readers import read_table
-from predia.streaming.change_stream import read_new_files, stream_changes
+from predia.streaming.change_stream import stream_files
 
 
 def curate(raw: DataFrame, feed_stamp: str = FEED_STAMP, text_dates: Iterable[str] = ()) -> DataFrame:
@@ -26,39 +24,36 @@ def curate(raw: DataFrame, feed_stamp: str = FEED_STAMP, text_dates: Iterable[st
 
 def curated_table(
     spark: SparkSession, job: JobConfig, schema: str, table: str, config: TableConfig | None = None,
-    table_type: str = "COPY_ON_WRITE",
 ) -> KeyedTable:
-    config = config or table_config(table)
-    return KeyedTable(spark, job.target(schema, table), config.primary_key, config.partition_key, table_type)
+    config = config or job.table_config(spark, table)
+    return KeyedTable(spark, job.target(schema, table), config.primary_key, config.partition_key,
+                      catalog_name=job.catalog_name(schema, table))
 
 
 def load_table(
     spark: SparkSession, job: JobConfig, schema: str, table: str, mode: str, config: TableConfig | None = None,
-    table_type: str = "COPY_ON_WRITE", guard_late: bool = False, max_files: int | None = None,
+    guard_late: bool = False, max_files: int | None = None,
 ) -> str | None:
     """One table in one mode; gives the last commit, or None when there was nothing to write.
 
     ``fl`` takes the full-load files, all of them each time. ``cdc`` takes the change files that no earlier run took:
-    a stream's checkpoint beside the table remembers them, so a run costs what is new.
+    a stream's checkpoint beside the table remembers them, so a run costs what is new. A change counts whatever its
+    time, also after a fresh full load; with ``guard_late`` one that is older than the stored row is left out.
     """
-    config = config or table_config(table)
-    source, target = job.source(schema, table), curated_table(spark, job, schema, table, config, table_type)
+    config = config or job.table_config(spark, table)
+    source, target = job.source(schema, table), curated_table(spark, job, schema, table, config)
     feed_stamp, text_dates = config.precomb_key or FEED_STAMP, TEXT_DATES.get(table, ())
     if mode != "cdc":
-        return target.write(curate(read_table(spark, source, job.file_format, mode), feed_stamp, text_dates), mode, [STAMP])
+        raw = read_table(spark, source, job.file_format, mode)
+        if config.primary_key not in raw.columns:
+            raise ConfigError(f"{source} has no column {config.primary_key}, the key of {table}")
+        return target.write(curate(raw, feed_stamp, text_dates), mode, [STAMP])
     before = target.last_commit()
     if before is None:
-        raise MissingTableError(f"{target.path} does not exist. Run Full Load First.")
-    try:
-        columns = read_table(spark, source, job.file_format, mode).schema
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None  # no change file yet
-        raise
-    arriving = read_new_files(spark, source, columns, job.file_format, mode, max_files)
-    stream_changes(
-        arriving, target, [STAMP], f"{target.path}/checkpoint", guard_late=guard_late,
-        prepare=lambda batch: curate(batch, feed_stamp, text_dates),
+        raise MissingTableError(target.path)
+    stream_files(
+        spark, source, job.file_format, mode, target, [STAMP], f"{target.path}/checkpoint",
+        prepare=lambda batch: curate(batch, feed_stamp, text_dates), max_files=max_files, guard_late=guard_late,
     ).awaitTermination()
     after = target.last_commit()
     return after if after != before else None
@@ -66,14 +61,17 @@ def load_table(
 
 def load_all(
     spark: SparkSession, job: JobConfig, mode: str, tables: Iterable[tuple[str, str]] | None = None,
-    table_type: str = "COPY_ON_WRITE", parallel: int = 4,
+    guard_late: bool = False, parallel: int = 4,
 ) -> dict[tuple[str, str], str | None]:
-    """Every listed table, or every table found in the source folders, a few at a time."""
+    """Every listed table, or every table found in the source folders, a few at a time.
+
+    Key, partition column and ordering column of a table come from its file in the job's configuration folder, if
+    there is one, else from the built-in list.
+    """
     if tables is None:
         tables = discover_tables(spark, "/".join(p for p in (job.source_root, job.route) if p))
-    tables = list(tables)
-    size_shuffles(spark, *[job.source(schema, table) for schema, table in tables])
     return run_together(spark, {
-        (schema, table): lambda schema=schema, table=table: load_table(spark, job, schema, table, mode, None, table_type)
+        (schema, table): lambda schema=schema, table=table: load_table(
+            spark, job, schema, table, mode, guard_late=guard_late)
         for schema, table in tables
     }, parallel)

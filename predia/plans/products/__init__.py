@@ -15,7 +15,6 @@ from predia.plans.products.properties import properties_and_projects
 from predia.plans.products.services import service_catalog, services_per_user
 from predia.plans.products.users import app_users
 from predia.plans.together import run_together
-from predia.session import size_shuffles
 from predia.sources.config import JobConfig
 from predia.sources.keyed_table import KeyedTable
 
@@ -58,7 +57,7 @@ def publish(name: str, tables: Mapping[str, DataFrame], target: KeyedTable, as_o
 
 def refresh(
     spark: SparkSession, job: JobConfig, marketplace_schema: str, customer_schema: str, names=tuple(PRODUCTS),
-    as_of=None, replace: bool = False, table_type: str = "COPY_ON_WRITE", parallel: int = 4,
+    as_of=None, replace: bool = False, parallel: int = 4,
 ) -> dict[str, str | None]:
     """Build products from the curated tables of a job and publish them beside these, under the schema ``products``."""
     def schema_of(table: str) -> str:
@@ -66,9 +65,8 @@ def refresh(
 
     def one(name: str) -> str | None:
         tables = {t: KeyedTable(spark, job.target(schema_of(t), t)).snapshot() for t in PRODUCTS[name].reads}
-        target = KeyedTable(spark, job.target("products", name), PRODUCTS[name].key, table_type=table_type)
+        target = KeyedTable(spark, job.target("products", name), PRODUCTS[name].key,
+                            catalog_name=job.catalog_name("products", name))
         return publish(name, tables, target, as_of, replace)
 
-    reads = {table for name in names for table in PRODUCTS[name].reads}
-    size_shuffles(spark, *[job.target(schema_of(table), table) for table in reads])
     return run_together(spark, {name: lambda name=name: one(name) for name in names}, parallel)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-from predia.sources import files
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time settings the operators rely on. Joins carry no broadcast hint: Spark broadcasts a side only when its
 # size, estimated from the files or measured after a shuffle, is under the threshold, and sort-merges beyond it.
@@ -37,7 +36,7 @@ STATIC_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-MOST_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -57,19 +56,44 @@ def build_session(app: str = "predia", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, *paths: str, file_bytes: int = 64 << 20) -> int:
-    """Start every shuffle with one partition per ``file_bytes`` of input, and never with fewer than the session asks.
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the caller's settings and those above; the caller's stay as they are."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return tune(session)
+
+
+def size_shuffles(df: DataFrame, file_bytes: int = 64 << 20) -> int:
+    """Start the shuffles of a frame's session with one partition per ``file_bytes`` that the frame reads.
 
-    Adaptive execution merges partitions that turn out small but cannot split one that is too large for a task, so the
-    start has to follow the size of the data.
+    Never with fewer than the session asks. Adaptive execution merges partitions that turn out small but cannot split
+    one that is too large for a task, so the start has to follow the size of the data: of what this frame reads, as
+    Spark knows it from listing the files.
     """
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = math.ceil(sum(files.size(spark, path) for path in paths) / file_bytes)
-    partitions = max(asked, min(needed, MOST_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    # A source that does not know its size says so with a number beyond any.
+    known = read if read < 1 << 60 else 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(known / file_bytes))
+    spark.conf.set(INITIAL_PARTITIONS, partitions)
     return partitions
 
 
+@contextlib.contextmanager
+def sized(df: DataFrame):
+    """Shuffles start with the size of what the frame reads; afterwards the session is as it was."""
+    conf = df.sparkSession.conf
+    before = conf.get(INITIAL_PARTITIONS, None)
+    size_shuffles(df)
+    try:
+        yield
+    finally:
+        conf.unset(INITIAL_PARTITIONS) if before is None else conf.set(INITIAL_PARTITIONS, before)
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="predia-")

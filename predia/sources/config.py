@@ -50,7 +50,11 @@ def table_config(table: str) -> TableConfig:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Where a job reads and writes, and how it names its tables."""
+    """Where a job reads and writes, and how it names its tables.
+
+    ``mappings`` is a folder of table configurations. With ``catalog``, every write is followed in the session's
+    catalog, in the job's database.
+    """
 
     source_root: str
     target_root: str
@@ -59,6 +63,19 @@ class JobConfig:
     prefix: str = ""
     suffix: str = ""
     file_format: str = "parquet"
+    mappings: str | None = None
+    catalog: bool = False
+
+    def table_config(self, spark: SparkSession, table: str) -> TableConfig:
+        """The configuration ``mapping_<table>.json`` of the job's folder, else the built-in one."""
+        path = f"{self.mappings}/mapping_{table}.json" if self.mappings else None
+        return load_table_config(spark, path) if path and files.exists(spark, path) else table_config(table)
+
+    def catalog_name(self, schema: str, table: str) -> str | None:
+        """The name under which a table is published, if the job publishes any."""
+        if not self.catalog:
+            return None
+        return f"{self.database}.{self.table_name(table)}" if self.database else f"{schema}_{self.table_name(table)}"
 
     def source(self, schema: str, table: str) -> str:
         return "/".join(p for p in (self.source_root, self.route, schema, table) if p)

@@ -49,7 +49,10 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that readers see all of it or none of it."""
+    """Write a small file so that readers see the old text, if there was one, or the new text, and never none.
+
+    The file system's own replacing rename does that; where it has none, the error says so.
+    """
     fs, location = file_system(spark, path)
     _, part = file_system(spark, f"{path}.part")
     stream = fs.create(part, True)
@@ -57,8 +60,23 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    fs.delete(location, False)
-    fs.rename(part, location)
+    context, options = _replacing(spark, location)
+    context.rename(part, location, options)
+
+
+def _replacing(spark: SparkSession, location):
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), conf), options
+
+
+def delete_partition(spark: SparkSession, folder: str, column: str, value: str) -> None:
+    """Remove a partition's folder, whose name Spark escapes."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    delete(spark, f"{folder}/{column}={escape(value)}")
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,14 +1,14 @@
-"""Keyed tables as parquet folders.
+"""Keyed tables as partitioned parquet, rewritten partition by partition.
 
-A plain convention over ``DataFrame.write``: every commit writes one new folder, ``full/commit=<id>`` with all rows,
-``more/commit=<id>`` with added rows or ``delta/commit=<id>`` with changed rows, and then its ``_schema.json``. A
-folder without that file is not there for readers, so a job that dies half way leaves the table as it was. Writing the
-same commit again replaces its folder. Where a lakehouse format is installed, the same operators can feed its MERGE.
+A table is one folder of parquet, partitioned by ``_part``: the text of the configured partition column, or a hash
+bucket of the key. A batch of changes is settled to one row per key, and only the partitions that hold a changed key
+are read, merged and written again, with Spark's dynamic partition overwrite. There is one copy of the table; nothing
+has to be compacted or cleaned.
 
-Changes are always settled to one row per key and written first. With ``MERGE_ON_READ`` that delta is the commit:
-readers lay the deltas over the last full folder, and ``compact`` folds them in. With ``COPY_ON_WRITE`` the written
-delta is laid over the table at once and all rows become the commit: cheap reads, for small and middling tables. At
-large scale an hourly batch of changes should cost what the changes cost, so use ``MERGE_ON_READ`` there.
+The merged partitions are written aside first. A batch that dies while the table itself is written leaves that copy,
+and the next use of the table writes it again; one that dies earlier has changed nothing and is replayed by key. While a
+batch is written, a reader may see some partitions before and others after it. Where the session offers a lakehouse
+format, feed the settled changes to its MERGE instead.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import datetime as dt
 import json
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,50 +25,68 @@ from predia.operators.changes import DELETE, settle_changes, strip_envelope, wit
 from predia.operators.cleaning import quoted
 from predia.operators.enrich import union_branches
 from predia.operators.latest import one_per_key
+from predia.session import sized
 from predia.sources import files
 
 COMMIT = "_commit_time"
 DELETED = "_deleted"
-TABLE_TYPES = ("COPY_ON_WRITE", "MERGE_ON_READ")
+PART = "_part"
 METHODS = ("cdc", "fl", None)
 
 
 class MissingTableError(RuntimeError):
     """Changes for a table that was never loaded."""
 
+    def __init__(self, path: str):
+        super().__init__(f"no table at {path}: load it in full before changes are applied")
+
 
 class KeyedTable:
-    """A table with one current row per key."""
+    """A table with one current row per key.
+
+    ``buckets`` is the number of parts of a table without partition column, kept with the table from its first load:
+    choose it so that a part has a few gigabytes. ``catalog_name`` keeps a table of the session's catalog up to date.
+    """
 
     def __init__(
         self, spark: SparkSession, path: str, keys: str | Iterable[str] = (), partition_by: str | None = None,
-        table_type: str = "COPY_ON_WRITE", write_options: Mapping[str, str] | None = None,
+        buckets: int = 16, write_options: Mapping[str, str] | None = None, catalog_name: str | None = None,
     ):
-        if table_type not in TABLE_TYPES:
-            raise ValueError(f"{table_type} is not one of {TABLE_TYPES}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.partition_by = partition_by
-        self.table_type = table_type
+        self.buckets = buckets
+        self.catalog_name = catalog_name
         # Free options come last and overwrite the defaults.
         self.write_options = {"compression": "gzip", **(write_options or {})}
 
-    # Commits
+    # State: one small file
+
+    def _state(self) -> dict | None:
+        if not files.exists(self.spark, f"{self.path}/_table.json"):
+            return None
+        return json.loads(files.read_text(self.spark, f"{self.path}/_table.json"))
+
+    def _loaded(self) -> dict:
+        """The state, after a batch that died half way is finished."""
+        state = self._state()
+        if state is None:
+            raise MissingTableError(self.path)
+        if "pending" in state:
+            state = self._finish(state)
+        return state
 
-    def commits(self, kind: str | None = None, before: str | None = None) -> list[tuple[str, str]]:
-        """(commit id, kind) of the finished commits in order of time."""
-        marks = files.matches(self.spark, f"{self.path}/{kind or '*'}/commit=*/_schema.json")
-        parts = [mark.split("/")[-3:-1] for mark in marks]
-        found = [(folder.removeprefix("commit="), each) for each, folder in parts]
-        return sorted(c for c in found if before is None or c[0] < before)
+    def _save(self, state: dict) -> dict:
+        files.write_text(self.spark, f"{self.path}/_table.json", json.dumps(state))
+        return state
 
     def exists(self) -> bool:
-        return bool(self.commits("full"))
+        return self._state() is not None
 
     def last_commit(self) -> str | None:
-        commits = self.commits()
-        return commits[-1][0] if commits else None
+        state = self._state()
+        return state and state["commit"]
 
     def new_commit(self) -> str:
         """The clock in milliseconds as digits, always after the last commit."""
@@ -78,156 +96,163 @@ class KeyedTable:
 
     # Reading
 
-    def _folder(self, commit: str, kind: str) -> str:
-        return f"{self.path}/{kind}/commit={commit}"
-
-    def _read(self, commit: str, kind: str) -> DataFrame:
-        return self._read_all([commit], kind)
-
-    def _read_all(self, commits: list[str], kind: str) -> DataFrame:
-        """The rows of several commits: one scan for all commits of one schema."""
-        by_schema: dict[str, list[str]] = {}
-        for commit in commits:
-            folder = self._folder(commit, kind)
-            by_schema.setdefault(files.read_text(self.spark, f"{folder}/_schema.json"), []).append(folder)
-        return union_branches(*[
-            self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*folders)
-            for schema, folders in by_schema.items()
-        ])
-
-    def _deltas(self, commits: list[str]) -> DataFrame:
-        """The newest change per key of several commits."""
-        rows = self._read_all(commits, "delta")
-        return rows if len(commits) == 1 else one_per_key(rows, self.keys, [COMMIT])
-
-    def rows(self, before: str | None = None) -> DataFrame:
-        """Current rows with their commit, as of the last commit (``before`` a commit)."""
-        commits = self.commits(before=before)
-        full = [c for c, kind in commits if kind == "full"]
-        if not full:
-            raise MissingTableError(f"{self.path} does not exist. Run Full Load First.")
-        base = self._read(full[-1], "full")
-        more = [c for c, kind in commits if kind == "more" and c > full[-1]]
-        if more:
-            base = union_branches(base, self._read_all(more, "more"))
-        later = [c for c, kind in commits if kind == "delta" and c > full[-1]]
-        if not later:
-            return base
-        return self._laid_over(base, self._deltas(later))
-
-    def _laid_over(self, base: DataFrame, changed: DataFrame) -> DataFrame:
-        """``base`` with the newer changes in place of the rows they replace or remove."""
-        names = {k: f"_k{i}" for i, k in enumerate(self.keys)}
-        marks = changed.select(*[quoted(k).alias(a) for k, a in names.items()], quoted(COMMIT).alias("_changed"))
-        older = quoted(COMMIT) < F.col("_changed")
-        for key, name in names.items():
-            older = older & (quoted(key) == F.col(name))
-        kept = base.join(marks, older, "left_anti")
-        return union_branches(kept, changed.where(~quoted(DELETED)).drop(DELETED))
-
-    def snapshot(self, before: str | None = None) -> DataFrame:
-        return self.rows(before).drop(COMMIT)
+    def _read(self, state: dict, folder: str) -> DataFrame:
+        schema = T.StructType.fromJson(state["schema"]).add(PART, T.StringType())
+        if not files.exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", folder).parquet(folder)
+
+    def _stored(self, state: dict) -> DataFrame:
+        return self._read(state, f"{self.path}/{state['folder']}")
+
+    def rows(self) -> DataFrame:
+        """Current rows with the commit that wrote them."""
+        return self._stored(self._loaded()).drop(PART)
+
+    def snapshot(self) -> DataFrame:
+        return self.rows().drop(COMMIT)
 
     def changes_since(self, commit: str | None, until: str | None = None) -> DataFrame:
         """Rows written after one commit, up to another; all current rows when ``commit`` is None.
 
-        Deleted rows are not in it. When no full folder lies in the range, only the folders in it are read.
+        Deleted rows are not in it.
         """
-        commits = [c for c in self.commits() if until is None or c[0] <= until]
-        if not commits or not any(kind == "full" for _, kind in commits):
-            raise MissingTableError(f"{self.path} does not exist. Run Full Load First.")
-        new = [c for c in commits if commit is None or c[0] > commit]
-        current = None if until is None else until + " "
-        if commit is None:
-            return self.rows(current)
-        if any(kind == "full" for _, kind in new):
-            return self.rows(current).where(quoted(COMMIT) > commit)
-        more = [c for c, kind in new if kind == "more"]
-        later = [c for c, kind in new if kind == "delta"]
-        if later and more:
-            return self.rows(current).where(quoted(COMMIT) > commit)
-        if more:
-            return self._read_all(more, "more")
-        if later:
-            return self._deltas(later).where(~quoted(DELETED)).drop(DELETED)
-        return self.rows(current).where(F.lit(False))
+        rows = self.rows()
+        if commit is not None:
+            rows = rows.where(quoted(COMMIT) > commit)
+        return rows if until is None else rows.where(quoted(COMMIT) <= until)
 
     # Writing
 
-    def _put(self, df: DataFrame, kind: str, commit: str) -> bool:
-        """Write the folder of a commit, not yet there for readers; whether it holds any row."""
-        folder = self._folder(commit, kind)
-        files.delete(self.spark, f"{folder}/_schema.json")
-        if kind == "full" and self.partition_by:
-            # Rebalance brings a partition's rows together for few files, and splits a partition that is too large.
-            writer = df.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
-        else:
-            writer = df.write
-        writer.mode("overwrite").options(**self.write_options).parquet(folder)
-        return not self.spark.read.schema(df.schema).parquet(folder).isEmpty()
+    def _part(self, state: Mapping) -> Column:
+        """Where a row lies. Never empty or null, so it can name a folder; the column itself stays as it is."""
+        if state["partition_by"]:
+            return F.coalesce(F.concat(F.lit("="), quoted(state["partition_by"]).cast("string")), F.lit("null"))
+        return F.pmod(F.xxhash64(*[quoted(k) for k in self.keys]), F.lit(state["buckets"])).cast("string")
 
-    def _finish(self, df: DataFrame, kind: str, commit: str) -> str:
-        files.write_text(self.spark, f"{self._folder(commit, kind)}/_schema.json", df.schema.json())
-        return commit
-
-    def _write(self, df: DataFrame, kind: str, commit: str) -> str | None:
-        """One commit; no rows, no commit."""
-        if self._put(df, kind, commit):
-            return self._finish(df, kind, commit)
-        files.delete(self.spark, self._folder(commit, kind))
-        return None
-
-    def _change(self, changed: DataFrame, commit: str) -> str | None:
-        """A commit of settled changes. They are computed once: everything after reads the written delta."""
-        changed = changed.withColumn(COMMIT, F.lit(commit))
-        if self.table_type == "MERGE_ON_READ":
-            return self._write(changed, "delta", commit)
-        written = None
-        if self._put(changed, "delta", commit):
-            delta = self.spark.read.schema(changed.schema).parquet(self._folder(commit, "delta"))
-            merged = self._laid_over(self.rows(before=commit), delta)
-            # A table from which every row is removed is a commit too.
-            self._put(merged, "full", commit)
-            written = self._finish(merged, "full", commit)
-        files.delete(self.spark, self._folder(commit, "delta"))
-        return written
+    def _put(self, df: DataFrame, folder: str, mode: str = "overwrite", **options: str) -> None:
+        # Rebalance brings a partition's rows together for few files, and splits a partition that is too large.
+        with sized(df):
+            (df.hint("rebalance", PART).write.mode(mode).partitionBy(PART)
+             .options(**self.write_options, **options).parquet(folder))
 
     def overwrite(self, df: DataFrame, commit: str | None = None) -> str | None:
         """Full load: the rows of ``df``, envelope removed, become the table; nothing happens for no rows."""
+        before = self._state()
         commit = commit or self.new_commit()
-        return self._write(strip_envelope(df).withColumn(COMMIT, F.lit(commit)), "full", commit)
+        rows = strip_envelope(df).withColumn(COMMIT, F.lit(commit))
+        state = {"commit": commit, "folder": f"rows-{commit}", "schema": json.loads(rows.schema.json()),
+                 "partition_by": self.partition_by, "buckets": self.buckets}
+        folder = f"{self.path}/{state['folder']}"
+        self._put(rows.withColumn(PART, self._part(state)), folder)
+        if not files.folders(self.spark, folder):
+            files.delete(self.spark, folder)
+            return None
+        self._save(state)
+        if before and before["folder"] != state["folder"]:
+            files.delete(self.spark, f"{self.path}/{before['folder']}")
+        self._follow(state)
+        return commit
 
     def append(self, df: DataFrame, commit: str | None = None) -> str | None:
         """Add rows without looking at their keys; only they are written."""
+        if not self.exists():
+            return self.overwrite(df, commit)
+        state = self._loaded()
         commit = commit or self.new_commit()
-        kind = "more" if self.commits("full", before=commit) else "full"
-        return self._write(strip_envelope(df).withColumn(COMMIT, F.lit(commit)), kind, commit)
+        rows = strip_envelope(df).withColumn(COMMIT, F.lit(commit))
+        if rows.isEmpty():
+            return None
+        state = self._widened(state, rows)
+        self._put(rows.withColumn(PART, self._part(state)), f"{self.path}/{state['folder']}", "append")
+        self._follow(self._save({**state, "commit": commit}))
+        return commit
+
+    def _widened(self, state: dict, rows: DataFrame) -> dict:
+        """The state with the columns that the table does not have yet; a column of another type is an error."""
+        known = {f["name"]: f["type"] for f in state["schema"]["fields"]}
+        clashes = [f["name"] for f in json.loads(rows.schema.json())["fields"]
+                   if f["name"] in known and f["type"] not in (known[f["name"]], "void")]
+        if clashes:
+            raise TypeError(f"{self.path} has other types for the columns {clashes}")
+        added = [f for f in json.loads(rows.schema.json())["fields"] if f["name"] not in known]
+        return {**state, "schema": {**state["schema"], "fields": [*state["schema"]["fields"], *added]}}
+
+    def _change(self, changed: DataFrame, commit: str) -> str | None:
+        """Merge settled changes into the partitions that hold their keys."""
+        state = self._loaded()
+        aside = f"{self.path}/pending-{commit}"
+        changed = changed.withColumn(COMMIT, F.lit(commit))
+        state = self._widened(state, changed.drop(DELETED))
+        # Written once; all that follows reads it.
+        with sized(changed):
+            changed.write.mode("overwrite").parquet(f"{aside}/changes")
+        changed = self.spark.read.schema(changed.schema).parquet(f"{aside}/changes")
+        touched = self._touched(state, changed)
+        if not touched:
+            files.delete(self.spark, aside)
+            return None
+        stored = self._stored(state).where(quoted(PART).isin(touched)).drop(PART)
+        same = [stored[k].eqNullSafe(changed[k]) for k in self.keys]
+        kept = stored.join(changed.select(*self.keys), same, "left_anti")
+        merged = union_branches(kept, changed.where(~quoted(DELETED)).drop(DELETED))
+        self._put(merged.withColumn(PART, self._part(state)), f"{aside}/rows")
+        state = self._save({**state, "pending": {"commit": commit, "parts": touched}})
+        self._follow(self._finish(state))
+        return commit
+
+    def _touched(self, state: dict, changed: DataFrame) -> list[str]:
+        """The partitions that hold a changed key or will: as many names as there are partitions at most."""
+        if not state["partition_by"]:
+            found = changed.select(self._part(state).alias(PART))
+        else:  # a key may move from another partition
+            stored = self._stored(state).select(*self.keys, PART)
+            same = [stored[k].eqNullSafe(changed[k]) for k in self.keys]
+            found = stored.join(changed.select(*self.keys), same, "left_semi").select(PART)
+            if state["partition_by"] in changed.columns:
+                found = found.unionAll(changed.where(~quoted(DELETED)).select(self._part(state)))
+        return sorted(r[PART] for r in found.distinct().collect())
+
+    def _finish(self, state: dict) -> dict:
+        """Put the merged partitions, which lie aside, in their place; doing so again gives the same table."""
+        commit, parts = state["pending"]["commit"], state["pending"]["parts"]
+        aside, folder = f"{self.path}/pending-{commit}", f"{self.path}/{state['folder']}"
+        merged = self._read(state, f"{aside}/rows")
+        self._put(merged, folder, partitionOverwriteMode="dynamic")
+        # Overwriting leaves partitions alone that have no row any more.
+        left = {r[PART] for r in merged.select(PART).distinct().collect()}
+        for part in set(parts) - left:
+            files.delete_partition(self.spark, folder, PART, part)
+        state = self._save({**{k: v for k, v in state.items() if k != "pending"}, "commit": commit})
+        files.delete(self.spark, aside)
+        return state
 
     def upsert(self, df: DataFrame, order: Iterable[str] = (), commit: str | None = None) -> str | None:
         """Insert or replace by key, of rows with one key the greatest by ``order``. A missing table is made."""
-        commit = commit or self.new_commit()
         rows = one_per_key(strip_envelope(df), self.keys, order)
-        if not self.commits("full", before=commit):
-            return self._write(rows.withColumn(COMMIT, F.lit(commit)), "full", commit)
-        return self._change(rows.withColumn(DELETED, F.lit(False)), commit)
+        if not self.exists():
+            return self.overwrite(rows, commit)
+        return self._change(rows.withColumn(DELETED, F.lit(False)), commit or self.new_commit())
 
     def apply_changes(
         self, changes: DataFrame, order: Iterable[str], op: str = "Op", guard_late: bool = False,
         commit: str | None = None,
     ) -> str | None:
         """Apply a batch of a change feed to the loaded table."""
-        if not self.commits("full", before=commit):
-            raise MissingTableError(f"{self.path} does not exist. Run Full Load First.")
-        commit = commit or self.new_commit()
+        state = self._loaded()
+        missing = [c for c in (*self.keys, *order, op) if c not in changes.columns]
+        if missing:
+            raise ValueError(f"changes for {self.path} lack the columns {missing}")
         settled = settle_changes(changes, self.keys, order, op)
         if guard_late:
-            settled = without_late(settled, self.rows(before=commit), self.keys, order)
-        return self._change(strip_envelope(settled.withColumn(DELETED, quoted(op) == DELETE).drop(op)), commit)
+            settled = without_late(settled, self._stored(state), self.keys, order)
+        settled = strip_envelope(settled.withColumn(DELETED, quoted(op) == DELETE).drop(op))
+        return self._change(settled, commit or self.new_commit())
 
     def delete(self, removed: DataFrame, commit: str | None = None) -> str | None:
         """Remove keys."""
-        commit = commit or self.new_commit()
-        return self._change(removed.select(*self.keys).distinct().withColumn(DELETED, F.lit(True)), commit)
+        gone = removed.select(*self.keys).distinct().withColumn(DELETED, F.lit(True))
+        return self._change(gone, commit or self.new_commit())
 
     def write(
         self, df: DataFrame, method: str | None, order: Iterable[str] = (), commit: str | None = None, **kwargs
@@ -241,22 +266,28 @@ class KeyedTable:
             return self.overwrite(df, commit)
         return self.upsert(df, order, commit)
 
-    def compact(self, commit: str | None = None) -> str:
-        """Fold added and changed rows into a new full folder; rows keep their commit."""
-        commit = commit or self.new_commit()
-        rows = self.rows(before=commit)
-        self._put(rows, "full", commit)
-        return self._finish(rows, "full", commit)
-
     # Catalog
 
     def register(self, name: str) -> None:
-        """Publish the current full folder as an external table of the session's catalog."""
-        commit, kind = self.commits()[-1]
-        if kind != "full":
-            raise RuntimeError("compact the table before it is registered")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=self._folder(commit, "full"), source="parquet")
-        if self.partition_by:
-            self.spark.catalog.recoverPartitions(name)
-
+        """Publish the table in the session's catalog, and keep it up to date with every commit of this object."""
+        self.catalog_name = name
+        self._follow(self._loaded())
+
+    def _follow(self, state: dict) -> None:
+        """Point the catalog's table at the current folder, with its columns and partitions."""
+        if not self.catalog_name:
+            return
+        name, folder = self.catalog_name, f"{self.path}/{state['folder']}"
+        schema = T.StructType.fromJson(state["schema"]).add(PART, T.StringType())
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({PART}) LOCATION '{folder}'")
+        else:
+            known = {c.lower() for c in self.spark.table(name).columns}
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name.lower() not in known)
+            if added:
+                self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        # A full load has a folder of its own: partitions that point elsewhere are dropped and found again.
+        self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(name)

@@ -18,6 +18,21 @@ class NotFormatFoundError(ValueError):
 _FILES = {None: None, "cdc": "{[^L]*,L[^O]*,LO[^A]*,LOA[^D]*}", "fl": "[^2]*"}
 
 
+# What each format is read with, in batch and in streams alike.
+FORMATS = {
+    "parquet": {},
+    "csv": {"header": True, "quote": '"', "escape": '"', "sep": ","},
+    "json": {"multiLine": True},
+}
+
+
+def reader_of(reader, fmt: str, mode: str | None, **options):
+    """A batch or stream reader of a format and an ingestion mode."""
+    if fmt not in FORMATS:
+        raise NotFormatFoundError(fmt)
+    return of_mode(reader, mode).format(fmt).options(**{**FORMATS[fmt], **options})
+
+
 def of_mode(reader, mode: str | None):
     """A batch or stream reader of the files that belong to an ingestion mode, in all subfolders."""
     if mode not in _FILES:
@@ -27,7 +42,7 @@ def of_mode(reader, mode: str | None):
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", mode: str | None = None,
+    spark: SparkSession, path: str | list[str], fmt: str = "parquet", mode: str | None = None,
     schema: T.StructType | str | None = None, record_path: str | None = "id", **options,
 ) -> DataFrame:
     """All files under ``path``, its subfolders too.
@@ -41,21 +56,14 @@ def read_table(
         from predia.sources.keyed_table import KeyedTable
 
         return KeyedTable(spark, path).snapshot()
-    reader = of_mode(spark.read, mode)
+    reader = reader_of(spark.read, fmt, mode, **options)
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "parquet":
-        return reader.options(**options).parquet(path)
-    if fmt == "csv":
-        defaults = {"header": True, "quote": '"', "escape": '"', "sep": ","}
-        return reader.options(**{**defaults, **options}).csv(path)
-    if fmt == "json":
-        documents = reader.options(**{"multiLine": True, **options}).json(path)
-        return documents if record_path is None else _records(documents, record_path)
-    raise NotFormatFoundError(fmt)
-
-
-def _records(documents: DataFrame, path: str) -> DataFrame:
+    rows = reader.load(path)
+    return records(rows, record_path) if fmt == "json" and record_path is not None else rows
+
+
+def records(documents: DataFrame, path: str) -> DataFrame:
     found = documents.select(quoted(path).alias("record"))
     if isinstance(found.schema["record"].dataType, T.ArrayType):
         found = found.select(F.explode("record").alias("record"))

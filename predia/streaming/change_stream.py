@@ -9,41 +9,67 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from predia.sources.keyed_table import KeyedTable, MissingTableError
-from predia.sources.readers import of_mode
+from predia.sources.readers import of_mode, read_table, reader_of
 
 
 def read_new_files(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", mode: str | None = "cdc",
     max_files: int | None = None,
 ) -> DataFrame:
-    """A streaming frame over the files of an ingestion mode; a query's checkpoint remembers which were read."""
-    reader = of_mode(spark.readStream, mode).schema(schema)
+    """A streaming frame over the files of an ingestion mode; a query's checkpoint remembers which were read.
+
+    JSON gives documents; ``readers.records`` takes their records out.
+    """
+    reader = reader_of(spark.readStream, fmt, mode).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.format(fmt).load(path)
+    return reader.load(path)
+
+
+def stream_files(
+    spark: SparkSession, path: str, fmt: str, mode: str | None, table: KeyedTable, order: Iterable[str],
+    checkpoint: str, prepare: Callable[[DataFrame], DataFrame], max_files: int | None = None, **kwargs,
+) -> StreamingQuery:
+    """Apply the files that no earlier run took, read as a batch reads them.
+
+    The stream only lists names: the content column of ``binaryFile`` is never read. The files of a batch are then
+    read together, with all columns that any of them has. What a batch reader refuses ends the batch before the
+    checkpoint moves, so no file counts as taken that was not applied.
+    """
+    reader = of_mode(spark.readStream, mode).format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    options = {"mergeSchema": True} if fmt == "parquet" else {}
+
+    def read(batch: DataFrame) -> DataFrame | None:
+        names = sorted(r["path"] for r in batch.collect())
+        return prepare(read_table(batch.sparkSession, names, fmt, **options)) if names else None
+
+    return stream_changes(reader.load(path).select("path"), table, order, checkpoint, prepare=read, **kwargs)
 
 
 def stream_changes(
     changes: DataFrame, table: KeyedTable, order: Iterable[str], checkpoint: str, op: str = "Op",
-    guard_late: bool = False, prepare: Callable[[DataFrame], DataFrame] | None = None,
+    guard_late: bool = False, prepare: Callable[[DataFrame], DataFrame | None] | None = None,
 ) -> StreamingQuery:
     """Start a query that applies every new file to ``table`` and ends (trigger ``availableNow``).
 
-    Each micro-batch is one commit named after the batch, laid over the table as it was before that commit. A batch
-    that is replayed after a crash replaces its own commit, so it counts once. The checkpoint moves only after the
-    commit is written.
+    Each micro-batch is one commit named after the batch. A batch that is replayed after a crash writes the same rows
+    by key, so it counts once. The checkpoint moves only after the commit is written.
     """
     order = list(order)
     last = table.last_commit()
     if last is None:
-        raise MissingTableError(f"{table.path} does not exist. Run Full Load First.")
+        raise MissingTableError(table.path)
     origin = last.split("-")[0]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Streams run without adaptive execution; a batch in here is an ordinary frame and gets it back.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         rows = batch if prepare is None else prepare(batch)
-        table.apply_changes(rows, order, op, guard_late, commit=f"{origin}-{batch_id:012d}")
+        if rows is not None:
+            table.apply_changes(rows, order, op, guard_late, commit=f"{origin}-{batch_id:012d}")
 
     return (
         changes.writeStream.foreachBatch(apply)

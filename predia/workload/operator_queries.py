@@ -456,15 +456,23 @@ def _(spark, folder):
     return rows.select("*", (F.col("price") > 100000).alias("high"))
 
 
-@query("surrogate_key", "SELECT count(*) AS n_rows, count(*) AS n_keys FROM customer")
+@query("surrogate_key", "SELECT count(*) AS n_rows, count(*) AS n_keys, count(*) AS n_same FROM customer")
 def _(spark, folder):
-    keyed = add_surrogate_key(read(spark, folder, "customer"), "key", ["c_custkey", "c_name"])
-    return keyed.agg(F.count("*").alias("n_rows"), F.count_distinct("key").alias("n_keys"))
+    """The key of a row is the same after the rows are dealt anew."""
+    customer = read(spark, folder, "customer")
+    keyed = add_surrogate_key(customer, "key", ["c_custkey", "c_name"]).select("c_custkey", "key")
+    again = add_surrogate_key(customer.repartition(7, "c_nationkey"), "key", ["c_custkey", "c_name"])
+    both = keyed.join(again.select("c_custkey", F.col("key").alias("other")), "c_custkey")
+    return both.agg(F.count("*").alias("n_rows"), F.count_distinct("key").alias("n_keys"),
+                    F.count_if(F.col("key") == F.col("other")).alias("n_same"))
 
 
-@query("surrogate_key_counted")
+@query("surrogate_key_counted", """
+    SELECT count(*) AS n_rows, count(*) AS n_keys, CAST(1 AS BIGINT) AS least, CAST(0 AS BIGINT) AS n_null FROM lineitem""")
 def _(spark, folder):
-    return add_surrogate_key(read(spark, folder, "nation"), "key").select("n_name", "key")
+    keyed = add_surrogate_key(read(spark, folder, "lineitem"), "key")
+    return keyed.agg(F.count("*").alias("n_rows"), F.count_distinct("key").alias("n_keys"), F.min("key").alias("least"),
+                     F.count_if(F.col("key").isNull()).alias("n_null"))
 
 
 @query("dates_as_text", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders")

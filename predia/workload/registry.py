@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from predia.operators.cleaning import quoted
-from predia.session import size_shuffles, tune
+from predia.session import own_session, size_shuffles
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -31,8 +31,9 @@ def query(name: str, oracle: str | None = None) -> Callable[[Runner], Runner]:
     """Register a query under ``name``, with the SQL that must give the same rows."""
     def register(run: Runner) -> Runner:
         def tuned(spark: SparkSession, folder: str) -> DataFrame:
-            size_shuffles(tune(spark), folder)
-            return portable(run(spark, folder))
+            rows = portable(run(own_session(spark), folder))
+            size_shuffles(rows)
+            return rows
 
         QUERIES[name] = tuned
         if oracle is not None:

@@ -25,10 +25,20 @@ from predia.workload.standins import read
 FIRST, SECOND, THIRD = "20240101000000000", "20240102000000000", "20240103000000000"
 
 
-def feed_files(df: DataFrame, folder: str, prefix: str) -> None:
-    """Write ``df`` as parquet files whose names start with ``prefix``, as a replication feed names them."""
+def feed_files(df: DataFrame, folder: str, prefix: str, fmt: str = "parquet") -> None:
+    """Write ``df`` as files whose names start with ``prefix``, as a replication feed names them.
+
+    JSON files hold one document each, with the records of one part of the rows.
+    """
     spark = df.sparkSession
-    df.write.mode("append").parquet(f"{folder}.writing")
+    writer = df.write
+    if fmt == "json":
+        record = F.struct(*df.columns)
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(20))
+        documents = df.groupBy(part.alias("part")).agg(F.collect_list(record).alias("id"))
+        writer = documents.select(F.to_json(F.struct("id")).alias("value")).write.option("maxRecordsPerFile", 1)
+    options = {"header": True, "quoteAll": True, "escape": '"'} if fmt == "csv" else {}
+    writer.mode("append").format("text" if fmt == "json" else fmt).options(**options).save(f"{folder}.writing")
     fs, target = files.file_system(spark, folder)
     fs.mkdirs(target)
     _, written = files.file_system(spark, f"{folder}.writing")
@@ -71,13 +81,13 @@ def _(spark, folder):
 @query("json_round_trip", "SELECT event_id, user_id, event_type, value FROM events")
 def _(spark, folder):
     path = scratch_path(spark, "json")
+    # A document of the feed holds the events of one user and minute.
     record = F.struct("event_id", "user_id", "event_type", "value")
-    # A document holds at most fifty thousand records, whatever the size of the table.
-    documents = read(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 50_000).alias("page")).agg(
+    documents = read(spark, folder, "events").groupBy("user_id", F.date_trunc("minute", "ts").alias("minute")).agg(
         F.collect_list(record).alias("id"))
-    documents.select(F.to_json(F.struct("id")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    documents.select(F.to_json(F.struct("id")).alias("value")).write.text(path)
     schema = "id ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT, event_type: STRING, value: DOUBLE>>"
-    return read_table(spark, path, "json", schema=schema)
+    return read_table(spark, path, "json", schema=schema, multiLine=False)
 
 
 @query("discover_and_configure", """
@@ -133,45 +143,43 @@ def _(spark, folder):
 
 
 def _stored_events(
-    spark: SparkSession, folder: str, purpose: str, table_type: str, every_op: bool = False
+    spark: SparkSession, folder: str, purpose: str, every_op: bool = False
 ) -> tuple[KeyedTable, DataFrame]:
     """A table loaded with the first half of the feed, and the changes of the second half."""
     events = read(spark, folder, "events")
-    table = KeyedTable(spark, scratch_path(spark, purpose), "user_id", table_type=table_type)
+    table = KeyedTable(spark, scratch_path(spark, purpose), "user_id")
     table.overwrite(event_base(events))
     return table, event_changes(events, every_op)
 
 
 @query("cdc_copy_on_write", CDC_SQL)
 def _(spark, folder):
-    table, changes = _stored_events(spark, folder, "copy-on-write", "COPY_ON_WRITE")
+    table, changes = _stored_events(spark, folder, "copy-on-write")
     table.write(changes, "cdc", ["ts", "event_id"])
     return table.snapshot()
 
 
 @query("cdc_merge_on_read", EVERY_OP_SQL)
 def _(spark, folder):
-    """Changes day by day, each its own delta, without rewriting the table."""
-    table, changes = _stored_events(spark, folder, "merge-on-read", "MERGE_ON_READ", every_op=True)
-    for first, last in (("2024-01-16", "2024-01-21"), ("2024-01-21", "2024-01-26"), ("2024-01-26", "2024-02-01")):
-        days = changes.where((F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
-                             & (F.col("ts") < F.lit(last).cast("timestamp_ntz")))
+    """Changes in deliveries, one after the other; the last has no end."""
+    table, changes = _stored_events(spark, folder, "merge-on-read", every_op=True)
+    for first, last in (("2024-01-16", "2024-01-21"), ("2024-01-21", "2024-01-26"), ("2024-01-26", None)):
+        days = changes.where(F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
+        if last:
+            days = days.where(F.col("ts") < F.lit(last).cast("timestamp_ntz"))
         table.write(days, "cdc", ["ts", "event_id"])
     return table.snapshot()
 
 
-
-
 @query("upsert_then_delete_stored", """
     SELECT * FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END
         AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders) WHERE o_orderpriority <> '5-LOW'""")
 def _(spark, folder):
     orders = read(spark, folder, "orders")
-    table = KeyedTable(spark, scratch_path(spark, "upsert"), "o_orderkey", table_type="MERGE_ON_READ")
+    table = KeyedTable(spark, scratch_path(spark, "upsert"), "o_orderkey")
     table.upsert(orders)
     table.upsert(orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("F")), ["o_orderdate"])
     table.delete(orders.where("o_orderpriority = '5-LOW'"))
-    table.compact()
     return table.snapshot()
 
 
@@ -182,18 +190,20 @@ def _(spark, folder):
     orders = read(spark, folder, "orders")
     year = F.lit("1998-01-01").cast("timestamp_ntz")
     path = scratch_path(spark, "incremental")
-    table = KeyedTable(spark, f"{path}/orders", "o_orderkey", table_type="MERGE_ON_READ")
+    table = KeyedTable(spark, f"{path}/orders", "o_orderkey")
     reader = IncrementalReader(table, f"{path}/state", "orders")
+
+    def take(name: str) -> None:
+        rows = reader.read().select(F.lit(name).alias("pass"), "o_orderkey", "o_orderstatus")
+        rows.write.mode("append").parquet(f"{path}/passes")
+        reader.acknowledge()
+
     table.upsert(orders.where(F.col("o_orderdate") < year), commit=FIRST)
-    first = reader.read()
-    reader.acknowledge()
+    take("first")
     table.upsert(orders.where(F.col("o_orderdate") >= year), commit=SECOND)
-    second = reader.read()
-    reader.acknowledge()
-    nothing = reader.read()
-    passes = [rows.select(F.lit(name).alias("pass"), "o_orderkey", "o_orderstatus")
-              for name, rows in (("first", first), ("second", second), ("third", nothing))]
-    return passes[0].unionByName(passes[1]).unionByName(passes[2])
+    take("second")
+    take("third")
+    return spark.read.parquet(f"{path}/passes")
 
 
 @query("commit_times", f"""
@@ -204,10 +214,12 @@ def _(spark, folder):
     table = KeyedTable(spark, scratch_path(spark, "commits"), "o_orderkey")
     table.overwrite(orders, FIRST)
     table.upsert(orders.where("o_orderstatus = 'F'"), commit=SECOND)
+    # One pass: the ends are those of the few counts, kept as a list of commits.
     times = table.rows().groupBy(F.col(COMMIT).alias("commit_time")).agg(F.count("*").alias("n"))
-    ends = table.rows().agg(F.min(COMMIT).alias("first_commit"), F.max(COMMIT).alias("last_commit")).first()
-    return times.select("*", F.lit(ends["first_commit"]).alias("first_commit"),
-                        F.lit(ends["last_commit"]).alias("last_commit"))
+    every = times.agg(F.sort_array(F.collect_list(F.struct("commit_time", "n"))).alias("commits"))
+    return every.select(F.explode("commits").alias("c"), F.element_at("commits", 1)["commit_time"].alias("first_commit"),
+                        F.element_at("commits", -1)["commit_time"].alias("last_commit")).select(
+        "c.commit_time", "c.n", "first_commit", "last_commit")
 
 
 # Curated tables
@@ -251,8 +263,104 @@ def _(spark, folder):
     job = _curated_job(spark, folder, "curated-changes")
     config = TableConfig("o_orderkey")
     for mode in ("fl", "cdc"):
-        load_table(spark, job, "shop", "pedidos", mode, config, "MERGE_ON_READ")
-    return curated_table(spark, job, "shop", "pedidos", config, "MERGE_ON_READ").snapshot()
+        load_table(spark, job, "shop", "pedidos", mode, config)
+    return curated_table(spark, job, "shop", "pedidos", config).snapshot()
+
+
+def _deliveries(spark: SparkSession, folder: str, fmt: str, added: bool = False) -> DataFrame:
+    """A full load and two deliveries of changes, each taken by its own run; the second may bring a new column."""
+    root = scratch_path(spark, f"deliveries-{fmt}")
+    job = JobConfig(f"{root}/raw", f"{root}/curated", "lake", "market", "curated_", "_tb", fmt)
+    config, source = TableConfig("o_orderkey"), job.source("shop", "pedidos")
+    orders = read(spark, folder, "orders")
+    feed_files(_raw_orders(orders.where("o_orderstatus <> 'O'"), "'I'", "2024-01-01 00:00:00"), source, "LOAD", fmt)
+    load_table(spark, job, "shop", "pedidos", "fl", config)
+    op = "CASE o_orderpriority WHEN '1-URGENT' THEN 'D' ELSE 'U' END"
+    for day in (2, 3):
+        part = orders.where(f"o_orderstatus <> 'F' AND o_orderkey % 2 = {day - 2}")
+        rows = _raw_orders(part, op, f"2024-01-0{day} 00:00:00", 1.0)
+        if added and day == 3:
+            rows = rows.withColumn("added", F.col("o_orderkey") * 2)
+        feed_files(rows, source, f"2024010{day}-", fmt)
+        load_table(spark, job, "shop", "pedidos", "cdc", config)
+    return curated_table(spark, job, "shop", "pedidos", config).snapshot()
+
+
+DELIVERIES_SQL = f"""
+    {RAW_SQL}, TIMESTAMP '2024-01-01' AS {STAMP}, NULL::BIGINT AS added FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL {RAW_SQL} + 1, CASE o_orderkey % 2 WHEN 0 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-03' END,
+        CASE o_orderkey % 2 WHEN 1 THEN o_orderkey * 2 END
+    FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority <> '1-URGENT'"""
+
+
+@query("curated_change_load_csv", f"SELECT * EXCLUDE (added) FROM ({DELIVERIES_SQL})")
+def _(spark, folder):
+    """CSV carries text only, so the curated table does too."""
+    rows = _deliveries(spark, folder, "csv")
+    return rows.select(F.col("o_orderkey").cast("long"), "o_orderpriority", F.col("o_totalprice").cast("double"), STAMP)
+
+
+@query("curated_change_load_json", f"SELECT * EXCLUDE (added) FROM ({DELIVERIES_SQL})")
+def _(spark, folder):
+    return _deliveries(spark, folder, "json")
+
+
+@query("curated_change_load_new_column", DELIVERIES_SQL)
+def _(spark, folder):
+    return _deliveries(spark, folder, "parquet", added=True)
+
+
+@query("load_all_configured", """
+    SELECT 'clientes' AS table_name, c_custkey AS key, upper(c_name) AS name FROM customer WHERE c_custkey % 3 <> 0
+    UNION ALL SELECT 'piezas', p_partkey, CASE p_partkey % 3 WHEN 1 THEN upper(p_name) ELSE p_name END FROM part
+    WHERE p_partkey % 3 <> 0""")
+def _(spark, folder):
+    """Two tables with keys of their own, one also with a partition and an ordering column, loaded and then changed."""
+    root = scratch_path(spark, "configured-all")
+    job = JobConfig(f"{root}/raw", f"{root}/curated", mappings=f"{root}/mappings")
+    customer, part = read(spark, folder, "customer"), read(spark, folder, "part")
+    configs = {"clientes": {"primary_key": "c_custkey"},
+               "piezas": {"primary_key": "p_partkey", "partition_key": "p_brand", "precomb_key": "changed_at"}}
+    for table, config in configs.items():
+        files.write_text(spark, f"{root}/mappings/mapping_{table}.json", json.dumps(config))
+    moments = {"clientes": "field_timestamp", "piezas": "changed_at"}
+
+    def deliver(table: str, rows: DataFrame, op: str, moment: str, prefix: str) -> None:
+        feed = rows.withColumns({"Op": F.expr(op), moments[table]: F.lit(moment)})
+        feed_files(feed, job.source("shop", table), prefix)
+
+    for table, rows in (("clientes", customer.select("c_custkey", "c_name")),
+                        ("piezas", part.select("p_partkey", "p_name", "p_brand"))):
+        key, name = rows.columns[:2]
+        deliver(table, rows, "'I'", "2024-01-01 00:00:00", "LOAD")
+        changed = rows.withColumn(name, F.upper(name))
+        if table == "piezas":  # a key that moves to another partition
+            changed = changed.where(f"{key} % 3 <> 2").withColumn("p_brand", F.lit("moved"))
+        deliver(table, changed, f"CASE {key} % 3 WHEN 0 THEN 'D' ELSE 'U' END", "2024-01-02 00:00:00", "20240102-")
+    load_all(spark, job, "fl")
+    load_all(spark, job, "cdc", guard_late=True)
+    results = [
+        curated_table(spark, job, "shop", table).snapshot().select(
+            F.lit(table).alias("table_name"), F.col(config["primary_key"]).alias("key"), F.col(name).alias("name"))
+        for (table, config), name in zip(configs.items(), ("c_name", "p_name"))
+    ]
+    return results[0].unionByName(results[1])
+
+
+@query("catalog_follows_commits", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'changed' ELSE o_orderpriority END AS o_orderpriority,
+        CASE WHEN o_orderstatus = 'P' THEN 1 END AS note FROM orders WHERE o_orderstatus <> 'F'""")
+def _(spark, folder):
+    """The catalog's table after a second full load, an upsert with a new column, and a delete."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    table = KeyedTable(spark, scratch_path(spark, "follow"), "o_orderkey")
+    table.overwrite(orders.limit(1))
+    table.register("predia_followed_orders")
+    table.overwrite(orders)
+    changed = orders.where("o_orderstatus = 'P'").withColumns({"o_orderpriority": F.lit("changed"), "note": F.lit(1)})
+    table.upsert(changed)
+    table.delete(orders.where("o_orderstatus = 'F'"))
+    return spark.table("predia_followed_orders").select("o_orderkey", "o_orderpriority", "note")
 
 
 @query("load_all_tables", """
@@ -280,7 +388,7 @@ def _(spark, folder):
 @query("stream_cdc_equals_batch", EVERY_OP_SQL)
 def _(spark, folder):
     """The feed in two deliveries: each run of the query sees only the files it has not read."""
-    table, changes = _stored_events(spark, folder, "stream", "MERGE_ON_READ", every_op=True)
+    table, changes = _stored_events(spark, folder, "stream", every_op=True)
     landing, checkpoint = f"{table.path}-landing", f"{table.path}-checkpoint"
     feed = changes.withColumn("field_timestamp", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     middle = F.lit("2024-01-24").cast("timestamp_ntz")

@@ -174,6 +174,10 @@ def test_rename_by_text_and_text_dates(spark):
     assert rename_by_text(df, "old", "new").columns == ["new_a", "b_new"]
     stamps = spark.sql("SELECT TIMESTAMP '2024-01-01 10:00:00' AS fecha, 1 AS id")
     assert dates_as_text(stamps, ["fecha", "other"]).first()["fecha"] == "2024-01-01 10:00:00"
+    fine = spark.sql("SELECT TIMESTAMP '2024-01-01 10:00:00.123456' AS fecha, '2024-01-01T10:00:00.123456789' AS texto")
+    text = dates_as_text(fine, ["fecha", "texto"]).first()
+    assert text["fecha"] == "2024-01-0110:00:00.123456" and len(text["fecha"]) == 25
+    assert text["texto"] == "2024-01-01T10:00:00.123456789"
 
 
 def test_surrogate_keys(spark):
