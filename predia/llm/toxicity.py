@@ -181,11 +181,12 @@ def score(docs: DataFrame, model: Model, column: str = "score", settings: Settin
     One pass without a shuffle. The model that goes to every task holds at most ``slots`` terms.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast class would have to be importable on the executors.
+    shared = spark.sparkContext.broadcast((model.intercept, model.terms, model.weights, model.factors))
     schema = docs.withColumn(column, F.lit(0.0)).schema
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        power, own = powers(), shared.value
+        power, own = powers(), Model(*shared.value)
         place = np.full(settings.slots, -1, np.int32)
         place[own.terms] = np.arange(len(own.terms), dtype=np.int32)
         for batch in batches:
