@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from predia.operators.cleaning import quoted
 
 
-class NotFormatFoundError(ValueError):
+class UnknownFormatError(ValueError):
     """No reader for the asked format."""
 
 
@@ -29,7 +29,7 @@ FORMATS = {
 def reader_of(reader, fmt: str, mode: str | None, **options):
     """A batch or stream reader of a format and an ingestion mode."""
     if fmt not in FORMATS:
-        raise NotFormatFoundError(fmt)
+        raise UnknownFormatError(fmt)
     return of_mode(reader, mode).format(fmt).options(**{**FORMATS[fmt], **options})
 
 

@@ -13,7 +13,7 @@ from predia.sources.config import (
 )
 from predia.sources.incremental import IncrementalReader
 from predia.sources.keyed_table import COMMIT, KeyedTable, MissingTableError
-from predia.sources.readers import NotFormatFoundError, query_view, read_table
+from predia.sources.readers import UnknownFormatError, query_view, read_table
 from predia.streaming.change_stream import read_new_files, stream_changes
 from predia.workload import QUERIES
 from predia.workload.storage_queries import feed_files
@@ -41,7 +41,7 @@ def test_modes_choose_files_by_name(spark, path, rows):
 
 
 def test_unknown_format(spark, path):
-    with pytest.raises(NotFormatFoundError):
+    with pytest.raises(UnknownFormatError):
         read_table(spark, path, "xml")
 
 
