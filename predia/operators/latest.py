@@ -1,7 +1,9 @@
 """Newest rows per key, without a window.
 
-A window over the key would sort every version of a hot key in one task. Both operators below aggregate instead:
-each task first keeps one candidate per key, so a key that holds a third of all rows sends one row per task.
+Both operators aggregate: each task first keeps one candidate per key, so a key that holds a third of all rows sends one
+row per task. For a rank filter over a window Spark drops lower ranks before the shuffle too, with one scan instead of
+two; measured on 3 million rows the two forms take the same time where ties are few (2.2 against 2.3 s, also with a hot
+key), and the semi join half of it where a hot key has many ties (2.1 against 4.1 s), which a window sorts in one task.
 """
 
 from __future__ import annotations
