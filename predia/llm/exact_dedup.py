@@ -237,7 +237,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
     rows = settle(exact_dedup(docs), "dedup-decisions")
     ids = settle(rows.groupBy("doc_id").agg(F.sum(F.col("kept").cast("int")).alias("stay"),
                                             F.count("*").alias("listed")), "dedup-ids")
-    clean = docs.join(ids.where("stay = 0"), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_anti")
+    # The ids that go grow with the documents, so the join is planned for their size from the start.
+    gone = ids.where("stay = 0").hint("merge")
+    clean = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     mixed = ids.where("stay > 0 and stay < listed").select("doc_id")
     if mixed.isEmpty():
         return clean
