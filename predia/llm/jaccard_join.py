@@ -7,13 +7,13 @@ band with the wanted probability, then:
 1. Representatives are shuffled on their band hashes. In each bucket the smallest id leads, and every other member is
    verified against its leader on the full sets: as many pairs as members, however large the bucket.
 2. Links join representatives into components.
-3. Buckets whose members lie in different components still hide pairs: those not verified yet. Jaccard distance is a
-   metric, so with the known distances to the leader only pairs whose distances differ by at most the allowed distance
-   can be links. These are verified as well, and components are built again.
+3. Buckets whose members lie in different components still hide pairs: those not verified yet. Two exact bounds rule
+   most of them out. A shingle that no other candidate has cannot be shared, so two sets share at most what the smaller
+   count of other shingles allows. And Jaccard distance is a metric, so the known distances to a leader bound the
+   distance of two members. What remains is verified as well, and components are built again.
 
-So every candidate pair of the banding is verified, ruled out by the metric, or lies in one component anyway. No set
-of all pairs of a group is ever made. Pairs below the threshold in all bands' eyes are missed with the probability that
-the recall states.
+So every candidate pair of the banding is verified, ruled out by a bound, or lies in one component anyway. The pairs of
+a group are never all made. A pair that shares no band at all is missed with the probability that the recall states.
 
 Defined results: null and empty texts have no set and link to nothing; a text of one to four words is one run; a row
 without id is its own class (class_id null) and links to nothing; repeated rows are copies of each other.
@@ -58,15 +58,20 @@ class Banding:
         return best
 
 
-def band_hashes(shingles: np.ndarray, banding: Banding, seeds: np.ndarray) -> np.ndarray:
+def permutations(banding: Banding) -> np.ndarray:
+    """An odd multiplier for each hash: multiplying permutes the 64-bit numbers."""
+    count = banding.rows * banding.bands
+    return mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(banding.seed)) | np.uint64(1)
+
+
+def band_hashes(shingles: np.ndarray, banding: Banding, odd: np.ndarray) -> np.ndarray:
     """One hash per band of the least permuted shingles; bands differ by their number."""
-    least = np.empty(len(seeds), np.uint64)
-    for k, seed in enumerate(seeds):
-        x = (shingles ^ seed) * MULTIPLIER
-        least[k] = (x ^ (x >> np.uint64(32))).min()
+    least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 1024):
+        np.minimum(least, (shingles[None, at:at + 1024] * odd[:, None]).min(axis=1), out=least)
     out = np.arange(banding.bands, dtype=np.uint64)
     for row in least.reshape(banding.bands, banding.rows).T:
-        out = mixed(out * MULTIPLIER + row)
+        out = mixed(out * MULTIPLIER + mixed(row))
     return out
 
 
@@ -74,14 +79,14 @@ def sketches(docs: DataFrame, banding: Banding) -> DataFrame:
     """doc_id, set_key (128 bits of the whole set), n_shingles, buckets; documents without words or id have none."""
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power = powers()
-        seeds = mixed(np.arange(1, banding.rows * banding.bands + 1, dtype=np.uint64) * np.uint64(banding.seed))
+        odd = permutations(banding)
         for batch in batches:
             keys, sizes, buckets = [], [], []
             for text in batch["text"]:
                 s = shingle_set(text.as_py() or "", power, banding.words)
                 sizes.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
-                buckets.append(band_hashes(s, banding, seeds).view(np.int64) if len(s) else None)
+                buckets.append(band_hashes(s, banding, odd).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(buckets, pa.list_(pa.int64()))], ["doc_id", "set_key", "n_shingles", "buckets"])
@@ -153,22 +158,26 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     reps = settle(named.join(first, ["set_key"]).where("doc_id = rep")
                   .select("rep", "set_key", "n_shingles", "buckets").dropDuplicates(["rep"]), "representatives")
 
-    spread = reps.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
-    leaders = (spread.groupBy("bucket").agg(F.min(F.struct("rep", "n_shingles")).alias("leader"), F.count("*").alias("n"))
-               .where("n > 1"))
-    # A pair whose sizes differ too much cannot reach the threshold, but its members may link to others of the bucket.
-    in_bucket = settle(spread.join(leaders, "bucket").select(
-        "bucket", "rep", "n_shingles", F.col("leader.rep").alias("leader")), "buckets")
-    star = in_bucket.where("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-    wanted = in_bucket.select("rep").distinct()
-    keys = settle(wanted.join(reps.select("rep", "set_key"), "rep"), "candidates")
-    sets = settle(set_rows(docs.join(keys.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), banding.words)
-                  .join(keys, "set_key").where("doc_id = rep").select("rep", "shingles").dropDuplicates(["rep"]), "sets")
-    checked = settle(verified(star, sets), "verified")
+    spread = reps.select("rep", F.explode("buckets").alias("bucket"))
+    leaders = spread.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    in_bucket = settle(spread.join(leaders.drop("n"), "bucket"), "buckets")
+    keys = settle(in_bucket.select("rep").distinct().join(reps, "rep"), "candidates")
+    # Candidates grow with the documents, so the join is planned for their size from the start.
+    wanted = keys.select(F.col("rep").alias("doc_id")).hint("merge")
+    sets = settle(set_rows(docs.join(wanted, "doc_id", "left_semi"), banding.words)
+                  .join(keys.select("rep", "set_key"), "set_key").where("doc_id = rep").select("rep", "shingles")
+                  .dropDuplicates(["rep"]), "sets")
+    sizes = settle(shareable(sets, keys.select("rep", "n_shingles", "buckets")), "sizes")
+
+    star = in_bucket.where("rep <> leader").select("rep", "leader").distinct()
+    led = sizes.select(F.col("rep").alias("leader"), F.struct("n_shingles", "common").alias("y"))
+    star = (star.join(sizes.select("rep", F.struct("n_shingles", "common").alias("x")), "rep").join(led, "leader")
+            .where(may_reach(F.col("x"), F.col("y"), above, below)))
+    checked = settle(verified(star.select(F.col("rep").alias("a"), F.col("leader").alias("b")), sets), "verified")
     links = checked.where(near).select("a", "b")
 
     parts = components(links)
-    hidden = hidden_pairs(in_bucket, parts, checked, above, below)
+    hidden = hidden_pairs(in_bucket, sizes, parts, checked, above, below)
     more = settle(verified(hidden, sets).where(near).select("a", "b"), "verified-hidden")
     if not more.isEmpty():
         links = links.unionAll(more)
@@ -184,27 +193,50 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         F.coalesce("rep", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_shingles")
 
 
-def hidden_pairs(in_bucket: DataFrame, parts: DataFrame, checked: DataFrame, above: int, below: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components and that the metric does not rule out."""
-    distance = F.when(F.col("rep") == F.col("leader"), 0.0).otherwise(1 - F.col("shared") / (F.col("both") - F.col("shared")))
+def shareable(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """Beside each representative's size, how many of its shingles any other candidate has too: ``common``."""
+    alone = (sets.select("rep", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where("n = 1")
+             .groupBy("rep").agg(F.count("*").alias("alone")))
+    return keys.join(alone, "rep", "left").select(
+        "rep", "n_shingles", "buckets", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def may_reach(x, y, above: int, below: int) -> F.Column:
+    """Whether two sets can reach the threshold, by their sizes and by what they may share at most."""
+    return F.least(x["common"], y["common"]) * (above + below) >= (x["n_shingles"] + y["n_shingles"]) * above
+
+
+def hidden_pairs(in_bucket: DataFrame, sizes: DataFrame, parts: DataFrame, checked: DataFrame, above: int,
+                 below: int) -> DataFrame:
+    """Pairs of one bucket that lie in different components and that no bound rules out.
+
+    The bounds are exact: what two sets can share, and the metric where both distances to the leader are known. A pair
+    that shares several buckets is taken in the least of them.
+    """
     placed = (in_bucket.join(parts, F.col("rep") == F.col("node"), "left")
-              .withColumn("component", F.coalesce("component", "rep")))
+              .withColumn("component", F.coalesce("component", "rep")).drop("node"))
     split = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                           F.count("*").alias("n"))
              .where("low <> high and n > 2").select("bucket"))
-    known = checked.select(F.col("a").alias("rep"), F.col("b").alias("leader"), "shared", "both")
-    rows = settle(placed.join(split, "bucket").join(known, ["rep", "leader"], "left").select(
-        "bucket", "rep", "leader", "component", "n_shingles", distance.alias("distance")), "split-buckets")
-    one, two = rows.alias("x"), rows.alias("y")
+    known = checked.select(F.col("a").alias("rep"), F.col("b").alias("leader"),
+                           (1 - F.col("shared") / (F.col("both") - F.col("shared"))).alias("distance"))
+    rows = settle(placed.where("rep <> leader").join(split, "bucket").join(known, ["rep", "leader"], "left")
+                  .join(sizes, "rep"), "split-buckets")
+    x, y = rows.alias("x"), rows.alias("y")
+
+    def side(name):
+        return {c: F.col(f"{name}.{c}") for c in ("n_shingles", "common")}
+
     allowed = 1 - above / below + 1e-9
-    size = F.least("x.n_shingles", "y.n_shingles") * below >= F.greatest("x.n_shingles", "y.n_shingles") * above
-    return (one.join(two, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
-                     & (F.abs(F.col("x.distance") - F.col("y.distance")) <= allowed) & size
-                     & (F.col("x.rep") != F.col("x.leader")) & (F.col("y.rep") != F.col("y.leader")))
+    apart = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) > allowed, F.lit(False))
+    first = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+    return (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
+                   & may_reach(side("x"), side("y"), above, below) & ~apart & first)
             .select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct())
 
 
 def one_per_group(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     """The documents that stand for their class, and those without words or id, with their own columns."""
     found = settle(near_duplicates(docs, banding).where("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(docs.columns)

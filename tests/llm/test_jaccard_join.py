@@ -5,26 +5,12 @@ from pyspark.sql import functions as F
 
 from predia.llm import jaccard_join as X
 from predia.llm.common import powers, shingle_set
+from tests_brute import near_classes
 
 
-def brute(texts, above=4, below=5):
+def brute(texts):
     """Least id of each document's class, over all pairs."""
-    sets = {i: set(shingle_set(t or "", powers()).tolist()) for i, t in texts}
-    root = {i: i for i in sets}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    ids = sorted(sets)
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            both = len(sets[i] | sets[j])
-            if sets[i] and sets[j] and len(sets[i] & sets[j]) * below >= both * above:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return {i: find(i) for i in ids}
+    return near_classes({i: shingle_set(t or "", powers()).tolist() for i, t in texts})
 
 
 def text(rng, n):
@@ -66,13 +52,19 @@ def test_chains_reach_beyond_the_leader(documents):
 
 def test_pairs_hidden_behind_a_leader_that_is_far(spark, documents):
     """Two members of a bucket are near each other, and both too far from its leader."""
-    buckets = spark.createDataFrame([(1, r, 100, 0) for r in (0, 7, 9, 20)],
-                                    "bucket long, rep long, n_shingles long, leader long")
+    buckets = spark.createDataFrame([(bucket, r, 0) for bucket in (1, 2) for r in (0, 7, 9, 20, 30)],
+                                    "bucket long, rep long, leader long")
+    # 30 has many shingles of its own, so it shares too little with any other.
+    sizes = spark.createDataFrame([(r, 100, [1, 2], 80 if r == 30 else 99) for r in (0, 7, 9, 20, 30)],
+                                  "rep long, n_shingles long, buckets array<long>, common long")
     # Distances to the leader: 0.3, 0.35 and 0.7; only the first two can be near each other.
     checked = spark.createDataFrame([(7, 0, 82, 200), (9, 0, 79, 200), (20, 0, 46, 200)],
                                     "a long, b long, shared long, both long")
     parts = spark.createDataFrame([], "node long, component long")
-    assert [tuple(r) for r in X.hidden_pairs(buckets, parts, checked, 4, 5).collect()] == [(9, 7)]
+    pairs = X.hidden_pairs(buckets, sizes, parts, checked, 4, 5).collect()
+    assert [tuple(r) for r in pairs] == [(9, 7)]
+    together = spark.createDataFrame([(7, 7), (9, 7)], "node long, component long")
+    assert not X.hidden_pairs(buckets, sizes, together, checked, 4, 5).collect()
 
 
 def test_edge_texts(documents):
