@@ -6,8 +6,8 @@ the ``keep`` quantile of the held-out good texts.
 
 How it is spread over the cluster:
 
-1. Documents are shuffled once, in batches of about ``batch_bytes`` (by a hash of the id, as are the labels). A batch
-   counts its different n-grams, and how often each stands in trusted text.
+1. Documents are shuffled once, compressed, in batches of about ``batch_bytes`` of text (by a hash of the id, as are the
+   labels). A batch unpacks a chunk at a time, and counts its different n-grams, and how often each stands in trusted text.
 2. N-grams are shuffled by themselves: the sum over batches is the corpus count. Lower orders, contexts, discounts and
    probabilities follow by count joins on n-grams and contexts, all spread by a hash. The most frequent n-gram is one
    row per batch.
@@ -24,10 +24,12 @@ held-out good texts takes the threshold of all languages together; without any,
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,13 +37,14 @@ from predia.llm.common import held_out, settle
 
 ORDER = 5
 START = "\x02"
+PACKED = "batch int, doc_id long, lang string, packed binary"
 SCORED = "doc_id long, lang string, n_chars long, log_prob double"
 
 
 @dataclass(frozen=True)
 class Settings:
     keep: float = 0.99
-    batch_bytes: int = 16 << 20
+    batch_bytes: int = 64 << 20
     chunk: int = 1 << 20
 
 
@@ -66,15 +69,16 @@ def gram_hashes(codes: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunks(texts: list[str], size: int):
-    """Runs of texts of about ``size`` characters: first text, lengths, and the joined text with starts before each."""
-    begin, total = 0, 0
-    for i, text in enumerate(texts):
-        total += len(text) + ORDER - 1
-        if total >= size or i == len(texts) - 1:
-            part = texts[begin:i + 1]
+def chunks(packed: pa.ChunkedArray, size: int) -> Iterator[tuple[int, list[int], str]]:
+    """Unpacks texts, about ``size`` characters at a time: first text, lengths, joined text with starts before each."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    begin, part, total = 0, [], 0
+    for i, data in enumerate(packed):
+        part.append(normalised(unpack(data.as_py()).decode()))
+        total += len(part[-1]) + ORDER - 1
+        if total >= size or i == len(packed) - 1:
             yield begin, [len(t) for t in part], "".join(START * (ORDER - 1) + t for t in part)
-            begin, total = i + 1, 0
+            begin, part, total = i + 1, [], 0
 
 
 def places(lengths: list[int]) -> np.ndarray:
@@ -84,13 +88,19 @@ def places(lengths: list[int]) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
+def merged(parts: list[tuple]) -> list[tuple]:
+    """Several lists of n-grams (hash, count, characters), each sorted by hash, as one."""
+    hashes, counts, grams = (np.concatenate(column) for column in zip(*parts))
+    unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    return [(unique, np.bincount(inverse, counts, len(unique)).astype(np.int64), grams[first])]
+
+
 def counted(docs: pa.Table, trusted: pa.Table, settings: Settings) -> pa.Table:
     """The different n-grams of a batch; batch number and count in trusted text packed in one number."""
-    factors, good = multipliers(), set(trusted["doc_id"].to_pylist()) if trusted.num_rows else set()
+    factors, good = multipliers(), set(trusted["doc_id"].to_pylist())
     ids = docs["doc_id"].to_pylist()
-    texts = [normalised(t) for t in docs["text"].to_pylist()]
-    hashes, counts, grams = [], [], []
-    for begin, lengths, text in chunks(texts, settings.chunk):
+    found: list[tuple] = []
+    for begin, lengths, text in chunks(docs["packed"], settings.chunk):
         codes, at = code_points(text), places(lengths)
         h = gram_hashes(codes, factors)[at]
         known = np.repeat([ids[begin + i] in good for i in range(len(lengths))], lengths)
@@ -98,15 +108,14 @@ def counted(docs: pa.Table, trusted: pa.Table, settings: Settings) -> pa.Table:
         seen, times = np.unique(h[known], return_counts=True)
         count = np.zeros(len(unique), np.int64)
         count[np.searchsorted(unique, seen)] = times
-        hashes.append(unique)
-        counts.append(count)
-        grams.append(codes[at[first][:, None] + np.arange(ORDER)].reshape(-1, ORDER))
+        found.append((unique, count, codes[at[first][:, None] + np.arange(ORDER)].reshape(-1, ORDER)))
+        if len(found) == 8:
+            found = merged(found)
     schema = pa.schema([("gram", pa.string()), ("packed", pa.int64())])
-    if not hashes:
+    if not found:
         return schema.empty_table()
-    unique, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
-    line = np.concatenate(grams)[first].tobytes().decode("utf-32-le")
+    _, total, grams = merged(found)[0]
+    line = grams.tobytes().decode("utf-32-le")
     batch = docs["batch"][0].as_py()
     return pa.table([pa.array([line[i:i + ORDER] for i in range(0, len(line), ORDER)], pa.string()),
                      pa.array((batch << 32) + total)], schema=schema)
@@ -121,15 +130,14 @@ def summed(docs: pa.Table, known: pa.Table, settings: Settings) -> pa.Table:
         h += line[:, k].astype(np.uint64) * factors[k]
     order = np.argsort(h)
     h, value = h[order], known["log_p"].to_numpy()[order]
-    texts = [normalised(t) for t in docs["text"].to_pylist()]
-    sums = np.zeros(len(texts))
-    for begin, lengths, text in chunks(texts, settings.chunk):
+    sums, sizes = np.zeros(docs.num_rows), np.zeros(docs.num_rows, np.int64)
+    for begin, lengths, text in chunks(docs["packed"], settings.chunk):
+        sizes[begin:begin + len(lengths)] = lengths
         got = gram_hashes(code_points(text), factors)[places(lengths)]
         if len(got):
             owner = np.repeat(np.arange(len(lengths)), lengths)
             sums[begin:begin + len(lengths)] = np.bincount(owner, value[np.searchsorted(h, got)], len(lengths))
-    return pa.table({"doc_id": docs["doc_id"], "lang": docs["lang"],
-                     "n_chars": pa.array([len(t) for t in texts], pa.int64()), "log_prob": pa.array(sums)})
+    return pa.table({"doc_id": docs["doc_id"], "lang": docs["lang"], "n_chars": pa.array(sizes), "log_prob": pa.array(sums)})
 
 
 def counts_by_order(grams: DataFrame) -> dict[int, DataFrame]:
@@ -189,11 +197,20 @@ def probabilities(grams: DataFrame) -> DataFrame:
     return lower.select("gram", F.log("p").alias("log_p"))
 
 
+def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts compressed, which is what is shuffled."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        texts = [pack((t.as_py() or "").encode("utf-8", "replace")) for t in batch["text"]]
+        yield pa.RecordBatch.from_arrays([batch["batch"], batch["doc_id"], batch["lang"], pa.array(texts, pa.binary())],
+                                         ["batch", "doc_id", "lang", "packed"])
+
+
 def batched(docs: DataFrame, labels: DataFrame, batches: int) -> tuple[DataFrame, DataFrame]:
     """Documents, and ids of trusted ones, with the number of their batch."""
     known = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
     where = F.pmod(known, F.lit(batches)).cast("int")
-    rows = docs.select(where.alias("batch"), "doc_id", "lang", "text")
+    rows = docs.select(where.alias("batch"), "doc_id", "lang", "text").mapInArrow(packed_texts, PACKED)
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     return rows, good.select(F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"), "doc_id")
 
