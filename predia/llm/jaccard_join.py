@@ -12,8 +12,12 @@ band with the wanted probability, then:
    count of other shingles allows. And Jaccard distance is a metric, so the known distances to a leader bound the
    distance of two members. What remains is verified as well, and components are built again.
 
-So every candidate pair of the banding is verified, ruled out by a bound, or lies in one component anyway. The pairs of
-a group are never all made. A pair that shares no band at all is missed with the probability that the recall states.
+So every candidate pair of the banding is verified, ruled out by a bound, or lies in one component anyway. A pair that
+shares no band at all is missed with the probability that the recall states.
+
+4. Links are counted inside the components, all sets against all: the sets of a component are dealt over blocks, and for
+two blocks at a time a product of their incidence matrices says what each two sets share. Only counts leave a task, so
+the pairs of a group are never rows, but the work on a group does grow with its square.
 
 Defined results: null and empty texts have no set and link to nothing; a text of one to four words is one run; a row
 without id is its own class (class_id null) and links to nothing; repeated rows are copies of each other.
@@ -146,7 +150,7 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     """One row per document: doc_id, class_id, copy_id, n_links, n_shingles.
 
     class_id is the smallest doc_id that the document reaches over links, copy_id the smallest with the same set, and
-    n_links the verified links between this set and other sets; members of a bucket link to its leader.
+    n_links how many other sets of the class are at the threshold or above.
     """
     banding = banding or Banding.for_recall()
     above, below = banding.above, banding.below
@@ -183,8 +187,7 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         links = links.unionAll(more)
         parts = components(links)
 
-    degree = (links.unionAll(links.select("b", "a")).distinct().groupBy(F.col("a").alias("rep"))
-              .agg(F.count("*").alias("n_links")))
+    degree = link_counts(sets, parts, above, below)
     classes = (members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
                .select(F.col("doc_id").alias("id"), F.col("set_key").alias("key"), "rep", "component", "n_links"))
     # A bucket's leader is its smallest id, and so is a component's label: the class id is a document's id.
@@ -193,6 +196,90 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         F.coalesce("rep", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_shingles")
 
 
+def link_counts(sets: DataFrame, parts: DataFrame, above: int, below: int, block: int = 256,
+                block_shingles: int = 1 << 20) -> DataFrame:
+    """rep, n_links: how many sets of its component each set is linked to, for all sets of ``parts``.
+
+    Two sets that are linked and alone have one link each. A larger component is one block, or several if it has more
+    than ``block`` sets or ``block_shingles`` shingles. Then sets are first parted by size, so that linked sets are in
+    one part or in two neighbouring ones, and dealt over the blocks of a part by a hash.
+    """
+    totals = parts.groupBy("component").agg(F.count("*").alias("members"))
+    rows = parts.join(totals, "component")
+    pairs = rows.where("members = 2").select(F.col("node").alias("rep"), F.lit(1).cast("long").alias("n_links"))
+    nodes = rows.where("members > 2").select(F.col("node").alias("rep"), "component").hint("merge")
+    placed = settle(sets.join(nodes, "rep").withColumn("size", F.size("shingles").cast("long")), "component-sets")
+
+    def needed():
+        return F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_shingles)).cast("int")
+
+    # A hair wider than the ratio of linked sizes, so that rounding never parts linked sets by two.
+    part = F.floor(F.log(F.col("size").cast("double")) / (math.log(below / above) * (1 + 1e-9))).cast("int")
+    whole = placed.groupBy("component").agg(needed().alias("all_blocks"))
+    placed = placed.join(whole, "component").withColumn("part", F.when(F.col("all_blocks") > 1, part).otherwise(0))
+    blocks = placed.groupBy("component", "part").agg(needed().alias("blocks"))
+    lower = blocks.select("component", (F.col("part") + 1).alias("part"), F.col("blocks").alias("below"))
+    upper = blocks.select("component", (F.col("part") - 1).alias("part"), F.col("blocks").alias("above"))
+    around = settle(blocks.join(lower, ["component", "part"], "left").join(upper, ["component", "part"], "left")
+                    .na.fill(0, ["below", "above"]), "component-blocks")
+
+    def cells(count, make):
+        numbers = F.filter(F.sequence(F.lit(0), count), lambda i: i < count)
+        return F.transform(numbers, lambda i: F.struct(F.col("component"), *[c.alias(n) for c, n in zip(
+            make(i), ("part_a", "block_a", "part_b", "block_b"))]))
+
+    own, at = F.col("block"), F.col("part")
+    dealt = (placed.join(around, ["component", "part"])
+             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("cell", F.explode(F.concat(
+                 cells(F.col("blocks"), lambda i: (at, F.least(own, i), at, F.greatest(own, i))),
+                 cells(F.col("above"), lambda i: (at, own, at + 1, i)),
+                 cells(F.col("below"), lambda i: (at - 1, i, at, own)))))
+             .select("cell", "rep", ((at == F.col("cell.part_a")) & (own == F.col("cell.block_a")))
+                     .alias("in_a"), "shingles"))
+
+    def counted(key: tuple, cell: pa.Table) -> pa.Table:
+        at_cell = key[0].as_py()
+        lists = cell["shingles"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        in_a = cell["in_a"].to_numpy()
+        one = (at_cell["part_a"], at_cell["block_a"]) == (at_cell["part_b"], at_cell["block_b"])
+        a, b = np.flatnonzero(in_a), np.flatnonzero(in_a if one else ~in_a)
+        shared = shared_counts(lists.flatten().to_numpy(), sizes, a, b)
+        near = shared * (above + below) >= (sizes[a][:, None] + sizes[b][None]) * above
+        links = np.zeros(len(sizes), np.int64)
+        links[a] += near.sum(1)
+        if one:
+            links -= 1  # each set is as near as can be to itself
+        else:
+            links[b] += near.sum(0)
+        return pa.table({"rep": cell["rep"], "n_links": pa.array(links)})
+
+    # One key, not its fields: rows that lie together by component are dealt anew, each cell for itself.
+    found = (dealt.groupBy("cell")
+             .applyInArrow(counted, "rep long, n_links long").groupBy("rep").agg(F.sum("n_links").alias("n_links")))
+    return found.unionAll(pairs)
+
+
+def shared_counts(flat: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, width: int = 2048) -> np.ndarray:
+    """How many shingles the sets ``a`` and ``b`` share, each with each, by products over ``width`` shingles."""
+    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
+    # A shingle that one set alone has counts for that set with itself only.
+    alone = np.bincount(np.repeat(np.arange(len(sizes)), sizes), n[column] == 1, len(sizes)).astype(np.int64)
+    several = n > 1
+    stays = several[column]
+    row, column = np.repeat(np.arange(len(sizes)), sizes)[stays], (np.cumsum(several) - 1)[column[stays]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = (a[:, None] == b[None]) * alone[a][:, None]
+    for first in range(0, int(several.sum()), width):
+        begin, end = np.searchsorted(column, (first, first + width))
+        strip = np.zeros((len(sizes), width), np.float32)
+        strip[row[begin:end], column[begin:end] - first] = 1
+        shared += (strip[a] @ strip[b].T).astype(np.int64)
+    return shared
+
+
 def shareable(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """Beside each representative's size, how many of its shingles any other candidate has too: ``common``."""
     alone = (sets.select("rep", F.explode("shingles").alias("shingle")).groupBy("shingle")

@@ -103,6 +103,46 @@ def test_large_group_makes_few_pairs(spark, documents):
     assert {r["class_id"] for r in rows} == {0} and sum(made) < 300 * 24
 
 
+def all_links(rows):
+    """How many other sets are at the threshold to each document's set, over all pairs."""
+    sets = {i: frozenset(shingle_set(t or "", powers()).tolist()) for i, t in rows}
+    different = set(sets.values())
+    return {i: sum(5 * len(s & o) >= 4 * len(s | o) for o in different if o != s) for i, s in sets.items()}
+
+
+def test_links_are_counted_behind_the_leader(documents):
+    """Three texts that are all near each other have two links each, whichever leads."""
+    rng = random.Random(4)
+    base = text(rng, 200)
+    rows = [(i, changed(rng, base, 1)) for i in range(3)]
+    assert all_links(rows) == {0: 2, 1: 2, 2: 2}
+    assert {r["doc_id"]: r["n_links"] for r in X.near_duplicates(documents(*rows)).collect()} == all_links(rows)
+
+
+def test_links_against_all_pairs(documents):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(12):
+        base = text(rng, rng.choice([60, 150, 300]))
+        rows += [(len(rows) + k, changed(rng, base, rng.choice([0, 1, 2, 4, 8]))) for k in range(rng.randrange(1, 25))]
+    got = {r["doc_id"]: r["n_links"] for r in X.near_duplicates(documents(*rows)).collect()}
+    assert got == all_links(rows)
+
+
+@pytest.mark.parametrize("limits", [(4, 1 << 20), (512, 900), (512, 1 << 20)])
+def test_links_of_blocks(spark, limits):
+    """Sets of many sizes in one component, dealt over blocks and parts of sizes or not."""
+    rng = random.Random(3)
+    sets = {r: sorted(rng.sample(range(60), rng.randrange(20, 60))) + [1000 + r] * (r % 2) for r in range(50)}
+    sets |= {r: list(range(5000, 5000 + r)) for r in range(60, 100, 2)} | {200: [1, 2], 201: [1, 2, 3]}
+    frame = spark.createDataFrame(list(sets.items()), "rep long, shingles array<long>")
+    parts = spark.createDataFrame([(r, 200 if r >= 200 else 0) for r in sets], "node long, component long")
+    got = {r["rep"]: r["n_links"] for r in X.link_counts(frame, parts, 4, 5, *limits).collect()}
+    want = {r: sum(5 * len(set(s) & set(o)) >= 4 * len(set(s) | set(o)) for q, o in sets.items() if q != r and
+                   (q < 200) == (r < 200)) for r, s in sets.items() if r < 200} | {200: 1, 201: 1}
+    assert got == want and sum(want.values()) > 100
+
+
 @pytest.mark.parametrize("recall", [0.9, 0.99, 0.9999])
 def test_banding_reaches_its_recall(recall):
     banding = X.Banding.for_recall(recall=recall)
