@@ -29,8 +29,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, and the window of each."""
-    return packing.pack(docs)
+    """The training windows, written to the shared folder, and of them the pieces with the window of each."""
+    return packing.listed(windows(docs))
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """The documents as training windows: ids with padding, and what lies in them."""
+    return settle(packing.sequences(docs), "training-windows")
 
 
 STAGES = [
@@ -45,9 +50,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to the table documents, each one's rows written and read again by the next."""
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table documents after all stages but packing, each one's rows written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
+
+
+def training_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run reads: the windows of the documents that all stages kept."""
+    return windows(kept(spark, sf_dir))
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to the table documents."""
+    return STAGES[-1][1](spark, kept(spark, sf_dir), sf_dir)

@@ -6,7 +6,9 @@ ids. Full windows stand alone. The other pieces are dealt over shards by a hash,
 are laid over each other with opposing slots, largest on smallest, which leaves windows of nearly equal load. If the
 fullest window exceeds the capacity, the number of windows rises and the shard is packed again.
 
-Only lengths and checksums are shuffled; each document is encoded once, and a group holds one shard, never all.
+Each document is encoded once and its ids move with its pieces; a group holds one shard, never all. ``sequences``
+gives the windows themselves, ids with padding, and the pieces that lie in them; ``pack`` lists those pieces with checksums
+of the ids that stand in the windows.
 
 Defined results: a null text counts as empty, an empty document is the end id alone; repeated rows and rows without id
 are documents of their own; no documents give no pieces.
@@ -22,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from predia.llm.common import settle
 from predia.llm.vocabulary import SPECIAL, encoder, shared_ranks
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-PACKED = f"{PIECES}, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, doc_tokens long, ids array<int>"
+PLACES = "doc_id long, start long, length long, doc_tokens long, offset long"
+WINDOWS = f"sequence_id long, n_ids long, ids array<int>, pieces array<struct<{PLACES.replace(' ', ':').replace(',:', ',')}>>"
+PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,7 @@ class Settings:
     windows_per_shard: int = 256
     pieces_per_shard: int = 20_000
     end_id: int = 0
+    pad_id: int = 0
     vocabulary: str | None = None
 
 
@@ -52,22 +56,24 @@ def cuts(n: int, settings: Settings) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, settings: Settings) -> DataFrame:
-    """The pieces of every document, with the checksum of their ids."""
+    """The pieces of every document with their ids."""
     shared = shared_ranks(docs.sparkSession, settings.vocabulary)
-    end = np.array([settings.end_id], "<u4")
+    end = np.array([settings.end_id], np.int32)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, special = encoder(shared.value), set(SPECIAL)
         for batch in batches:
-            rows = []
+            rows, all_ids = [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 ids = encode.encode_to_numpy(text.as_py() or "", allowed_special=special)
-                ids = np.concatenate([ids.astype("<u4"), end])
-                rows += [(doc_id, a, n, zlib.crc32(ids[a:a + n].tobytes()), len(ids))
-                         for a, n in cuts(len(ids), settings)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else
-                                             [pa.array([], pa.int64())] * 5,
-                                             ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                all_ids += [ids.astype(np.int32), end]
+                n = len(ids) + 1
+                rows += [(doc_id, a, size, n) for a, size in cuts(n, settings)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 4
+            offsets = np.concatenate([[0], np.cumsum([r[2] for r in rows])]).astype(np.int32)
+            flat = np.concatenate([*all_ids, np.empty(0, np.int32)])
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat)],
+                                             ["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(cut_up, PIECES)
 
@@ -135,27 +141,72 @@ def windows(sizes: list[int], capacity: int) -> list[int]:
         k += max(1, (fullest - capacity) * k // (8 * capacity))
 
 
-def packed(rows: pd.DataFrame, settings: Settings) -> pd.DataFrame:
-    """Pieces of one shard with their sequence and their place in it."""
-    rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
-    full = rows["length"].to_numpy() == settings.capacity
-    window = np.empty(len(rows), np.int64)
-    slots = np.array(windows(rows.loc[~full, "length"].tolist(), settings.capacity), np.int64)
-    used = int(slots.max()) + 1 if len(slots) else 0
+def laid_out(table: pa.Table, settings: Settings) -> pa.Table:
+    """The windows of one shard's pieces."""
+    table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "row")]).combine_chunks()
+    length, lists = table["length"].to_numpy(), table["ids"].combine_chunks()
+    flat, first = lists.flatten().to_numpy(), np.cumsum(length) - length
+    full = length == settings.capacity
+    slots = np.array(windows(length[~full].tolist(), settings.capacity), np.int64)
+    window = np.empty(len(length), np.int64)
     window[~full] = slots
-    window[full] = used + np.arange(int(full.sum()))
-    rows["sequence_id"] = (rows["shard"].to_numpy(np.int64) << 32) + window
-    rows["offset"] = rows.groupby("sequence_id")["length"].cumsum() - rows["length"]
-    return rows.drop(columns="shard").astype({"doc_id": "Int64"})
-
-
-def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    window[full] = (int(slots.max()) + 1 if len(slots) else 0) + np.arange(int(full.sum()))
+    order = np.argsort(window, kind="stable")
+    window, length, first = window[order], length[order], first[order]
+    begins = np.flatnonzero(np.diff(window, prepend=-1))
+    before = np.cumsum(length) - length
+    offset = before - np.repeat(before[begins], np.diff([*begins, len(window)]))
+
+    # Every id goes from its place in its piece to its place in its window.
+    number = np.cumsum(np.diff(window, prepend=-1) > 0) - 1
+    within = np.arange(int(length.sum())) - np.repeat(before, length)
+    ids = np.full(len(begins) * settings.capacity, settings.pad_id, np.int32)
+    ids[np.repeat(number * settings.capacity + offset, length) + within] = flat[np.repeat(first, length) + within]
+
+    places = table.select(["doc_id", "start", "length", "doc_tokens"]).take(pa.array(order))
+    parts = pa.StructArray.from_arrays([*(places[c].combine_chunks() for c in places.column_names), pa.array(offset)],
+                                       [*places.column_names, "offset"])
+    shard = table["shard"][0].as_py()
+    return pa.table({
+        "sequence_id": pa.array((shard << 32) + window[begins]),
+        "n_ids": pa.array(np.add.reduceat(length, begins)),
+        "ids": pa.ListArray.from_arrays(np.arange(len(begins) + 1, dtype=np.int32) * settings.capacity, ids),
+        "pieces": pa.ListArray.from_arrays(np.append(begins, len(window)).astype(np.int32), parts)})
+
+
+def sequences(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per window: sequence_id, n_ids, ids (``capacity`` of them, closed by padding), pieces.
+
+    ``pieces`` names in their order the parts of documents that the ids are: doc_id, start, length, doc_tokens, offset.
+    """
     cut = settle(pieces(docs, settings), "pieces")
     rest = F.when(F.col("length") < settings.capacity, F.col("length"))
     counts = cut.agg(F.count("*").alias("pieces"), F.sum(rest).alias("rest")).first()
     shards = max(1, math.ceil((counts["rest"] or 0) / (settings.capacity * settings.windows_per_shard)),
                  math.ceil(counts["pieces"] / settings.pieces_per_shard))
-    shard = F.pmod(F.xxhash64(*cut.columns, F.monotonically_increasing_id()), F.lit(shards))
-    return cut.withColumn("shard", shard).groupBy("shard").applyInPandas(
-        lambda rows: packed(rows, settings), PACKED)
+    rows = cut.withColumn("row", F.monotonically_increasing_id())
+    shard = F.pmod(F.xxhash64("doc_id", "start", "row"), F.lit(shards))
+    return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(
+        lambda table: laid_out(table, settings), WINDOWS)
+
+
+def listed(found: DataFrame) -> DataFrame:
+    """The pieces of windows, one row each, with the checksum of the ids that stand in the window."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for sequence, ids, parts in zip(batch["sequence_id"].to_pylist(), batch["ids"], batch["pieces"].to_pylist()):
+                ids = ids.values.to_numpy().astype("<u4")
+                rows += [(p["doc_id"], p["start"], p["length"],
+                          zlib.crc32(ids[p["offset"]:p["offset"] + p["length"]].tobytes()), p["doc_tokens"], sequence,
+                          p["offset"]) for p in parts]
+            names = [name.split()[0] for name in PACKED.split(", ")]
+            columns = zip(*rows) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return found.select("sequence_id", "ids", "pieces").mapInArrow(summed, PACKED)
+
+
+def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per piece of the windows: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    return listed(sequences(docs, settings))

@@ -43,6 +43,25 @@ def test_pieces_are_the_documents(documents, reference_ids):
     check(rows, {i: reference_ids(t) for i, t in texts.items()})
 
 
+def test_windows_hold_the_ids(documents, reference_ids):
+    """From the windows alone every document's ids come back; the rest is padding."""
+    texts = {1: None, 2: "", 3: "word " * 5000, 4: "a<|endoftext|> b", 6: "x" * 30_000, 7: " ".join(map(str, range(900)))}
+    settings = X.Settings(pad_id=7)
+    found = X.sequences(documents(*texts.items()), settings).collect()
+    back = {i: {} for i in texts}
+    for window in found:
+        assert len(window["ids"]) == settings.capacity
+        assert window["n_ids"] == sum(p["length"] for p in window["pieces"])
+        assert set(window["ids"][window["n_ids"]:]) <= {7}
+        for p in window["pieces"]:
+            back[p["doc_id"]][p["start"]] = window["ids"][p["offset"]:p["offset"] + p["length"]]
+    assert {i: sum((parts[a] for a in sorted(parts)), []) for i, parts in back.items()} == {
+        i: reference_ids(t) for i, t in texts.items()}
+    assert len({w["sequence_id"] for w in found}) == len(found)
+    empty = X.sequences(documents(*texts.items()).where("false"))
+    assert empty.count() == 0
+
+
 def test_little_padding_on_given_documents(spark, reference_ids):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = X.pack(docs).collect()

@@ -72,3 +72,8 @@ def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert rows.count() > 0
+
+
+def test_windows_are_written(spark):
+    found = corpus_pipeline.windows(table(spark, FOLDER, "documents"))
+    assert found.inputFiles() and {len(r["ids"]) for r in found.select("ids").collect()} == {1024}
