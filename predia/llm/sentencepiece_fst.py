@@ -23,19 +23,24 @@ text reads as a space; repeated rows are encoded each.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MARK = "▁"
 UNIGRAM, MERGE = 1, 2
 BYTE_WEIGHT = 1e6
-RESULT = "doc_id long, n_ids long, n_bytes long, ids_crc32 long, decoded_crc32 long, restored boolean"
+PORTION = 4_000_000
+ENCODED = "doc_id long, ids array<int>"
+DECODED = "doc_id long, text string"
+RESULT = "doc_id long, n_ids long, n_bytes long, ids array<int>, decoded string, restored boolean"
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -313,31 +318,81 @@ def model_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def shared_model(spark: SparkSession, path: str | None) -> Broadcast:
+    """The model file, read on the driver and sent to every task; its size is that of a vocabulary."""
+    with open(path or model_file(), "rb") as file:
+        return spark.sparkContext.broadcast({"model": file.read()})
+
+
+def machine_of(shared: Broadcast) -> Machine:
+    kept = shared.value  # a worker keeps it between tasks, and with it the compiled machine
+    return kept.get("machine") or kept.setdefault("machine", Machine(kept["model"]))
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches in portions of about ``size`` bytes of a column, one row at least, so that no result grows large."""
+    for batch in batches:
+        begin = held = 0
+        for i, width in enumerate(pc.binary_length(batch[column]).to_pylist() if pa.types.is_string(batch[column].type)
+                                  else pc.list_value_length(batch[column]).to_pylist()):
+            if held >= size:
+                yield batch.slice(begin, i - begin)
+                begin, held = i, 0
+            held += width or 0
+        yield batch.slice(begin)
+
+
+def lists_of(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32))
+
+
+def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id and the ids of each row's ``text``. One pass, no shuffle."""
+    shared = shared_model(docs.sparkSession, path)
+
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = machine_of(shared)
+        for batch in portions(batches, "text", PORTION):
+            ids = [machine.encode(text.as_py() or "") for text in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists_of(ids)], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(worked, ENCODED)
+
+
+def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id and the text of each row's ``ids``; a null list counts as empty. One pass, no shuffle."""
+    shared = shared_model(rows.sparkSession, path)
+
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = machine_of(shared)
+        for batch in portions(batches, "ids", PORTION):
+            texts = [machine.decode(ids.values.to_numpy()) if ids.is_valid else "" for ids in batch["ids"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return rows.select("doc_id", F.col("ids").cast("array<int>").alias("ids")).mapInArrow(worked, DECODED)
+
+
 def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """One row per document: counts and checksums of its ids, and whether decoding gives the text back.
+    """One row per document: its ids, how many there are and are bytes, their text, and whether that is the document's.
 
-    ``restored`` compares with the text in which the mark itself reads as a space. The model file is read on the driver
-    and sent to every task; its size is that of a vocabulary. One pass, no shuffle.
+    ``restored`` compares with the text in which the mark itself reads as a space. One pass, no shuffle.
     """
-    with open(path or model_file(), "rb") as file:
-        shared = docs.sparkSession.sparkContext.broadcast({"model": file.read()})
+    shared = shared_model(docs.sparkSession, path)
 
     def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = shared.value  # a worker keeps it between tasks, and with it the compiled machine
-        machine = kept.get("machine") or kept.setdefault("machine", Machine(kept["model"]))
+        machine = machine_of(shared)
         in_bytes = np.zeros(len(machine.text_of), bool)
         in_bytes[list(machine.byte_ids.values())] = True
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                text = text.as_py() or ""
-                ids = machine.encode(text)
-                back = machine.decode(ids)
-                rows.append((doc_id, len(ids), int(in_bytes[ids].sum()), zlib.crc32(ids.tobytes()),
-                             zlib.crc32(back.encode()), back == text.replace(MARK, " ")))
-            names = [name.split()[0] for name in RESULT.split(", ")]
-            kinds = [pa.int64()] * 5 + [pa.bool_()]
-            columns = zip(*rows) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        for batch in portions(batches, "text", PORTION):
+            texts = [text.as_py() or "" for text in batch["text"]]
+            ids = [machine.encode(text) for text in texts]
+            back = [machine.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(map(len, ids), pa.int64()),
+                 pa.array([int(in_bytes[i].sum()) for i in ids], pa.int64()), lists_of(ids),
+                 pa.array(back, pa.string()),
+                 pa.array([b == t.replace(MARK, " ") for b, t in zip(back, texts)], pa.bool_())],
+                ["doc_id", "n_ids", "n_bytes", "ids", "decoded", "restored"])
 
     return docs.select("doc_id", "text").mapInArrow(worked, RESULT)

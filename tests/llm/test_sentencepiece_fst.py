@@ -84,6 +84,21 @@ def test_query_rows(documents, library):
     assert X.encode_decode(docs.where("false")).count() == 0
 
 
+def test_tables_of_ids_and_texts(documents, library, monkeypatch):
+    monkeypatch.setattr(X, "PORTION", 50)  # several portions of a batch
+    texts = {i: t for i, t in enumerate([None, *TEXTS])}
+    docs = documents(*texts.items(), (None, "no id"))
+    ids = {r["doc_id"]: r["ids"] for r in X.encode(docs).collect()}
+    assert ids == {i: library.encode(t or "") for i, t in texts.items()} | {None: library.encode("no id")}
+    plain = {i: (t or "").replace(X.MARK, " ") for i, t in texts.items()} | {None: "no id"}
+    assert {r["doc_id"]: r["text"] for r in X.decode(X.encode(docs)).collect()} == plain
+    rows = {r["doc_id"]: r for r in X.encode_decode(docs).collect()}
+    assert {i: r["ids"] for i, r in rows.items()} == ids and {i: r["decoded"] for i, r in rows.items()} == plain
+    assert all(r["n_ids"] == len(r["ids"]) for r in rows.values())
+    nothing = X.encode(docs.where("false"))
+    assert nothing.count() == 0 and X.decode(nothing).count() == 0
+
+
 def test_memory_of_parts_is_bounded(machine):
     machine.encode(" ".join(f"w{i}" for i in range(500)))
     assert len(machine.paths) <= 50
