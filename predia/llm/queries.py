@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predia.llm import (chat_format, exact_dedup, jaccard_join, kneser_ney, license_scan, packing, quality_rules,
-                        sentencepiece_fst, token_counts, toxicity)
+from predia.llm import (chat_format, exact_dedup, html_extraction, jaccard_join, kneser_ney, license_scan, packing,
+                        quality_rules, sentencepiece_fst, token_counts, toxicity)
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,8 @@ FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id
 @query("op10_exact_dedup", DEDUP_SQL)
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
+
+
+@query("op13_html_extraction")
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(table(spark, folder, "pages"))
