@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predia.llm import (chat_format, exact_dedup, html_extraction, jaccard_join, kneser_ney, license_scan, packing,
-                        quality_rules, sentencepiece_fst, token_counts, toxicity)
+from predia.llm import (chat_format, exact_dedup, html_extraction, jaccard_join, kneser_ney, license_scan,
+                        merkle_manifest, packing, quality_rules, sentencepiece_fst, token_counts, toxicity)
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,65 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def value_of(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}) || ':' || {column} END"
+
+
+def leaf_of(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(value_of(v) for v in values)})"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {leaf_of("text")} AS leaf,
+    {leaf_of("replace(text, chr(10), '')")} AS without_lines,
+    list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) & 1 = 1
+      AS tampered FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+below AS (
+  SELECT source, 0 AS height, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL SELECT source, height + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+    lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], ''))) FROM below WHERE len(nodes) > 1),
+subroots AS (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+  FROM below WHERE len(nodes) = 1),
+over_all AS (
+  SELECT 0 AS height, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL SELECT height + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+    lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], ''))) FROM over_all WHERE len(nodes) > 1),
+spots AS (
+  SELECT r, height, nodes, CAST(floor(place / pow(3, height)) AS BIGINT) AS p
+  FROM placed JOIN below ON placed.source IS NOT DISTINCT FROM below.source WHERE len(nodes) > 1
+  UNION ALL SELECT r, 100 + height, nodes, CAST(floor(subroots.place / pow(3, height)) AS BIGINT)
+  FROM placed JOIN subroots ON placed.source IS NOT DISTINCT FROM subroots.source, over_all WHERE len(nodes) > 1),
+steps AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY height) AS step,
+    array_to_string(nodes[p // 3 * 3 + 1:p], '') AS before, array_to_string(nodes[p + 2:p // 3 * 3 + 3], '') AS after
+  FROM spots),
+folds AS (
+  SELECT r, 0 AS step, CASE WHEN tampered THEN without_lines ELSE leaf END AS digest FROM placed
+  UNION ALL SELECT folds.r, steps.step, sha256(before || digest || after)
+  FROM folds JOIN steps ON folds.r = steps.r AND steps.step = folds.step + 1),
+proofs AS (
+  SELECT r, max(step) AS steps, string_agg(before || after, '' ORDER BY step) AS siblings FROM steps GROUP BY r),
+found AS (
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM over_all WHERE len(nodes) = 1) AS root,
+    sha256(coalesce(siblings, '')) AS proof_sha256, digest AS folded_root
+  FROM placed JOIN subroots ON placed.source IS NOT DISTINCT FROM subroots.source LEFT JOIN proofs USING (r)
+  JOIN folds ON folds.r = placed.r AND folds.step = coalesce(steps, 0))
+SELECT *, folded_root = root AS verified FROM found
+"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.digests(merkle_manifest.manifest(table(spark, folder, "documents")))
+
+
 @query("op13_html_extraction")
 def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extract(table(spark, folder, "pages"))
