@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from predia.llm import (chat_format, exact_dedup, html_extraction, jaccard_join, kneser_ney, license_scan,
-                        merkle_manifest, packing, quality_rules, sentencepiece_fst, token_counts, toxicity)
+                        merkle_manifest, packing, quality_rules, sentencepiece_fst, spelling_variants,
+                        token_counts, toxicity)
 from predia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +172,51 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+# The checksum byte by byte: a byte is taken in, then eight times -1 shifts one bit out.
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+checked AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+      range(0, strlen(named)), lambda i: [16 * (strpos('0123456789ABCDEF', named_hex[2 * i + 1]) - 1)
+        + strpos('0123456789ABCDEF', named_hex[2 * i + 2]) - 1, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS h
+  FROM (SELECT *, hex(encode(named)) AS named_hex FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run AS named FROM runs))),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2)
+      ELSE run END AS word FROM checked)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+shorter AS (
+  SELECT word, i, substring(word, 1, i) || substring(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM shorter AS a JOIN shorter AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT shorter.word, words.word FROM shorter JOIN words ON rest = words.word
+  UNION SELECT words.word, shorter.word FROM shorter JOIN words ON rest = words.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(words.word ORDER BY n DESC, words.word) AS best, max(n) AS best_n
+  FROM near JOIN words ON words.word = other GROUP BY near.word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+    CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM words LEFT JOIN best USING (word)),
+ends AS (
+  SELECT word, word AS root, 0 AS steps FROM formed
+  UNION ALL SELECT ends.word, formed.form, steps + 1 FROM ends JOIN formed ON formed.word = root
+  WHERE formed.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, steps) AS root FROM ends GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN last USING (word)
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
+
+
 def value_of(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}) || ':' || {column} END"
 
