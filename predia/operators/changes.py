@@ -13,6 +13,7 @@ from predia.operators.cleaning import quoted
 from predia.operators.latest import one_per_key
 
 DELETE = "D"
+OPERATIONS = ("I", "U", DELETE)
 
 
 def strip_envelope(df: DataFrame, columns: Iterable[str] = ENVELOPE) -> DataFrame:
@@ -53,15 +54,22 @@ def hard_delete(target: DataFrame, removed: DataFrame, keys: Iterable[str]) -> D
     return target.join(gone, [target[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)], "left_anti")
 
 
+def known_operation(op: str = "Op", operations: Iterable[str] = OPERATIONS) -> Column:
+    """The operation, where it is a declared one or none. Any other ends the job that reads it."""
+    unknown = F.raise_error(F.concat(F.lit(f"unknown operation in {op}: "), quoted(op).cast("string")))
+    return F.when(quoted(op).isNull() | quoted(op).isin(*operations), quoted(op)).otherwise(unknown)
+
+
 def settle_changes(
     changes: DataFrame, keys: Iterable[str], order: Iterable[str], op: str = "Op", null_op_is_upsert: bool = False
 ) -> DataFrame:
-    """The one change per key that counts, ``op`` included.
+    """The one change per key that counts, ``op`` included. An operation that is not a declared one is an error.
 
     It is the newest; among equally new ones a delete beats a write, and a write beats a row without an operation.
     A key whose newest change has no operation is left out, also when older changes of that key have one.
     """
     keys, order = list(keys), list(order)
+    changes = changes.withColumn(op, known_operation(op))
     if null_op_is_upsert:
         changes = changes.withColumn(op, F.coalesce(quoted(op), F.lit("U")))
     strength = F.when(quoted(op) == DELETE, 2).when(quoted(op).isNotNull(), 1).otherwise(0)

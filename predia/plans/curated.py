@@ -26,8 +26,9 @@ def curated_table(
     spark: SparkSession, job: JobConfig, schema: str, table: str, config: TableConfig | None = None,
 ) -> KeyedTable:
     config = config or job.table_config(spark, table)
-    return KeyedTable(spark, job.target(schema, table), config.primary_key, config.partition_key,
-                      catalog_name=job.catalog_name(schema, table))
+    layout = {} if config.buckets is None else {"buckets": config.buckets}
+    return KeyedTable(spark, job.target(schema, table), config.primary_key, config.partition_key, **layout,
+                      write_options=config.write_options, catalog_name=job.catalog_name(schema, table))
 
 
 def load_table(
@@ -44,7 +45,7 @@ def load_table(
     source, target = job.source(schema, table), curated_table(spark, job, schema, table, config)
     feed_stamp, text_dates = config.precomb_key or FEED_STAMP, TEXT_DATES.get(table, ())
     if mode != "cdc":
-        raw = read_table(spark, source, job.file_format, mode)
+        raw = read_table(spark, source, job.file_format, mode, **config.read_options)
         if config.primary_key not in raw.columns:
             raise ConfigError(f"{source} has no column {config.primary_key}, the key of {table}")
         return target.write(curate(raw, feed_stamp, text_dates), mode, [STAMP])
@@ -53,7 +54,8 @@ def load_table(
         raise MissingTableError(target.path)
     stream_files(
         spark, source, job.file_format, mode, target, [STAMP], f"{target.path}/checkpoint",
-        prepare=lambda batch: curate(batch, feed_stamp, text_dates), max_files=max_files, guard_late=guard_late,
+        prepare=lambda batch: curate(batch, feed_stamp, text_dates), max_files=max_files,
+        read_options=config.read_options, guard_late=guard_late,
     ).awaitTermination()
     after = target.last_commit()
     return after if after != before else None

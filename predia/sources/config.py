@@ -18,12 +18,19 @@ class ConfigError(ValueError):
 
 @dataclass(frozen=True)
 class TableConfig:
-    """Key of a table, and optionally its partition column, ordering column and column mapping."""
+    """Key of a table, and optionally its partition column, ordering column and column mapping.
+
+    ``read_options`` are the options of the format in which its files come, ``buckets`` and ``write_options`` how the
+    curated table is laid out and written.
+    """
 
     primary_key: str
     partition_key: str | None = None
     precomb_key: str | None = None
     columns: Mapping[str, Mapping] = field(default_factory=dict)
+    read_options: Mapping[str, object] = field(default_factory=dict)
+    buckets: int | None = None
+    write_options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def parse(cls, entries: Mapping) -> TableConfig:
@@ -32,9 +39,15 @@ class TableConfig:
         for name in ("partition_key", "precomb_key"):
             if name in entries and not isinstance(entries[name], str):
                 raise ConfigError(f"{name} must be a text")
+        for name in ("columnas", "read_options", "write_options"):
+            if not isinstance(entries.get(name, {}), Mapping):
+                raise ConfigError(f"{name} must hold entries")
+        buckets = entries.get("buckets")
+        if buckets is not None and (not isinstance(buckets, int) or isinstance(buckets, bool) or buckets < 1):
+            raise ConfigError("buckets must be a number from 1 on")
         return cls(
             entries["primary_key"], entries.get("partition_key"), entries.get("precomb_key"),
-            entries.get("columnas", {}),
+            entries.get("columnas", {}), entries.get("read_options", {}), buckets, entries.get("write_options", {}),
         )
 
 

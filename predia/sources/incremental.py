@@ -30,10 +30,14 @@ class IncrementalReader:
             return None
         return json.loads(files.read_text(spark, self.state_path))["last_processed_commit"]
 
-    def read(self) -> DataFrame:
-        """New rows, those of the whole table at the first read; an empty frame when there is nothing new."""
+    def read(self, deletes: bool = False) -> DataFrame:
+        """New rows, those of the whole table at the first read; an empty frame when there is nothing new.
+
+        With ``deletes`` they come from the table's change feed, and ``_deleted`` marks the rows that went.
+        """
         self._seen = self.table.last_commit()
-        return self.table.changes_since(self.last_processed(), self._seen)
+        ask = self.table.changed_rows if deletes else self.table.changes_since
+        return ask(self.last_processed(), self._seen)
 
     def acknowledge(self) -> None:
         if self._seen is None:

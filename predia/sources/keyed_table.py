@@ -5,10 +5,12 @@ bucket of the key. A batch of changes is settled to one row per key, and only th
 are read, merged and written again, with Spark's dynamic partition overwrite. There is one copy of the table; nothing
 has to be compacted or cleaned.
 
-The merged partitions are written aside first. A batch that dies while the table itself is written leaves that copy,
-and the next use of the table writes it again; one that dies earlier has changed nothing and is replayed by key. While a
-batch is written, a reader may see some partitions before and others after it. Where the session offers a lakehouse
-format, feed the settled changes to its MERGE instead.
+A batch is first written to the table's change feed: one folder per commit, with the rows as they were before and as they
+are after. The partitions are then merged from there, so a batch that dies while they are written is finished by the next
+use of the table, and one that dies earlier has changed nothing. A reader that asks for changes reads the folders of the
+commits it has not seen, and learns of deleted rows too. While a batch is written, a reader of the table may see some
+partitions before and others after it. Where the session offers a lakehouse format, feed the settled changes to its MERGE
+instead.
 """
 
 from __future__ import annotations
@@ -21,16 +23,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from predia.operators.changes import DELETE, settle_changes, strip_envelope, without_late
+from predia.operators.changes import DELETE, hard_delete, settle_changes, strip_envelope, without_late
 from predia.operators.cleaning import quoted
 from predia.operators.enrich import union_branches
-from predia.operators.latest import one_per_key
+from predia.operators.latest import newest_rows, one_per_key
 from predia.session import sized
 from predia.sources import files
 
 COMMIT = "_commit_time"
 DELETED = "_deleted"
 PART = "_part"
+IMAGE = "_image"
+BEFORE, AFTER = "before", "after"
 METHODS = ("cdc", "fl", None)
 
 
@@ -41,6 +45,10 @@ class MissingTableError(RuntimeError):
         super().__init__(f"no table at {path}: load it in full before changes are applied")
 
 
+class FeedGoneError(RuntimeError):
+    """Changes were asked for from a commit whose feed is no longer kept."""
+
+
 class KeyedTable:
     """A table with one current row per key.
 
@@ -122,6 +130,72 @@ class KeyedTable:
             rows = rows.where(quoted(COMMIT) > commit)
         return rows if until is None else rows.where(quoted(COMMIT) <= until)
 
+    def changed_rows(self, commit: str | None, until: str | None = None) -> DataFrame:
+        """Rows that changed after one commit, up to another, as they are now, and the keys of deleted rows.
+
+        ``_deleted`` tells them apart; of a deleted row the other columns hold what was there last, as far as it is
+        known. All current rows when ``commit`` is None. Only the feed of the new commits is read, but after a full
+        load in between the whole table.
+        """
+        state = self._loaded()
+        until = until or state["commit"]
+        if commit is None:
+            return self.rows().withColumn(DELETED, F.lit(False))
+        if commit < state.get("feed_from", state["commit"]):
+            raise FeedGoneError(f"the changes of {self.path} after {commit} are no longer kept")
+        images = self.images(commit, until)
+        if state.get("full", "") > commit:
+            rows = self.rows().where(quoted(COMMIT) <= until)
+            gone = one_per_key(images.where(quoted(IMAGE) == BEFORE), self.keys, [COMMIT]).drop(IMAGE)
+            gone = hard_delete(gone, rows, self.keys)
+            return union_branches(rows.withColumn(DELETED, F.lit(False)), gone.withColumn(DELETED, F.lit(True)))
+        last = newest_rows(images.withColumn(DELETED, quoted(IMAGE) == BEFORE).withColumn("_written", ~quoted(DELETED)),
+                           self.keys, [COMMIT, "_written"])
+        return last.drop(IMAGE, "_written")
+
+    def images(self, commit: str, until: str | None = None) -> DataFrame:
+        """The feed after one commit, up to another: rows as they were before a commit and as they were after it."""
+        state = self._loaded()
+        names = [f for f in self._feed_commits() if commit < f <= (until or state["commit"])]
+        return self._read_feed(state, names).drop(PART)
+
+    def forget_feed(self, commit: str) -> None:
+        """Drop the feed up to a commit that every reader has seen."""
+        state = self._loaded()
+        self._save({**state, "feed_from": max(commit, state.get("feed_from", ""))})
+        for name in self._feed_commits():
+            if name <= commit:
+                files.delete(self.spark, self._feed(name))
+
+    def _feed(self, commit: str) -> str:
+        return f"{self.path}/feed/{COMMIT}={commit}"
+
+    def _feed_commits(self) -> list[str]:
+        return [f.split("=", 1)[1] for f in files.folders(self.spark, f"{self.path}/feed") if f.startswith(f"{COMMIT}=")]
+
+    def _read_feed(self, state: dict, commits: list[str]) -> DataFrame:
+        """Feed rows of the listed commits; only their folders are listed."""
+        schema = T.StructType.fromJson(state["schema"]).add(PART, T.StringType()).add(IMAGE, T.StringType())
+        if not commits:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([f for f in schema if f.name != COMMIT]).add(COMMIT, T.StringType())
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.path}/feed")
+        return reader.parquet(*[self._feed(c) for c in commits]).select(*[quoted(f.name) for f in schema])
+
+    def _write_feed(self, rows: DataFrame, commit: str) -> bool:
+        """Write a commit's feed, in place of one that a batch left that came to nothing; whether it has rows."""
+        last = self.last_commit() or ""
+        for name in self._feed_commits():
+            if name > last:
+                files.delete(self.spark, self._feed(name))
+        with sized(rows):
+            rows.drop(COMMIT).write.options(**self.write_options).mode("overwrite").parquet(self._feed(commit))
+        written = self.spark.read.schema(f"{IMAGE} string").parquet(self._feed(commit))
+        if written.isEmpty():
+            files.delete(self.spark, self._feed(commit))
+            return False
+        return True
+
     # Writing
 
     def _part(self, state: Mapping) -> Column:
@@ -139,15 +213,23 @@ class KeyedTable:
     def overwrite(self, df: DataFrame, commit: str | None = None) -> str | None:
         """Full load: the rows of ``df``, envelope removed, become the table; nothing happens for no rows."""
         before = self._state()
+        if before and "pending" in before:
+            before = self._loaded()
         commit = commit or self.new_commit()
         rows = strip_envelope(df).withColumn(COMMIT, F.lit(commit))
-        state = {"commit": commit, "folder": f"rows-{commit}", "schema": json.loads(rows.schema.json()),
+        state = {"commit": commit, "folder": f"rows-{commit}", "schema": json.loads(rows.schema.json()), "full": commit,
+                 "feed_from": before["feed_from"] if before and "feed_from" in before else commit,
                  "partition_by": self.partition_by, "buckets": self.buckets}
         folder = f"{self.path}/{state['folder']}"
         self._put(rows.withColumn(PART, self._part(state)), folder)
         if not files.folders(self.spark, folder):
             files.delete(self.spark, folder)
             return None
+        if before and self._same_keys(before, state):
+            gone = hard_delete(self._stored(before), self._stored(state), self.keys).select(*self.keys, PART)
+            self._write_feed(gone.withColumn(IMAGE, F.lit(BEFORE)), commit)
+        else:
+            state["feed_from"] = commit
         self._save(state)
         if before and before["folder"] != state["folder"]:
             files.delete(self.spark, f"{self.path}/{before['folder']}")
@@ -164,7 +246,9 @@ class KeyedTable:
         if rows.isEmpty():
             return None
         state = self._widened(state, rows)
-        self._put(rows.withColumn(PART, self._part(state)), f"{self.path}/{state['folder']}", "append")
+        placed = rows.withColumn(PART, self._part(state))
+        self._write_feed(placed.withColumn(IMAGE, F.lit(AFTER)), commit)
+        self._put(self._read_feed(state, [commit]).drop(IMAGE), f"{self.path}/{state['folder']}", "append")
         self._follow(self._save({**state, "commit": commit}))
         return commit
 
@@ -178,54 +262,50 @@ class KeyedTable:
         added = [f for f in json.loads(rows.schema.json())["fields"] if f["name"] not in known]
         return {**state, "schema": {**state["schema"], "fields": [*state["schema"]["fields"], *added]}}
 
+    def _same_keys(self, before: Mapping, after: Mapping) -> bool:
+        """Whether two loads have the table's key columns, of the same types."""
+        types = [{f["name"]: f["type"] for f in state["schema"]["fields"]} for state in (before, after)]
+        return bool(self.keys) and all(k in types[0] and types[0][k] == types[1].get(k) for k in self.keys)
+
     def _change(self, changed: DataFrame, commit: str) -> str | None:
-        """Merge settled changes into the partitions that hold their keys."""
+        """Write settled changes to the feed, then merge them into the partitions that hold their keys."""
         state = self._loaded()
-        aside = f"{self.path}/pending-{commit}"
-        changed = changed.withColumn(COMMIT, F.lit(commit))
-        state = self._widened(state, changed.drop(DELETED))
-        # Written once; all that follows reads it.
-        with sized(changed):
-            changed.write.mode("overwrite").parquet(f"{aside}/changes")
-        changed = self.spark.read.schema(changed.schema).parquet(f"{aside}/changes")
-        touched = self._touched(state, changed)
-        if not touched:
-            files.delete(self.spark, aside)
+        if state["commit"] == commit:  # a batch that is replayed although it was written
+            return commit
+        state = self._widened(state, changed.drop(DELETED).withColumn(COMMIT, F.lit(commit)))
+        keys = changed.select(*self.keys)
+        # A key that is written lies in one part, or may come from another one when the parts are not made of keys.
+        stored = self._stored(state)
+        places = changed if self._parts_of_keys(state) else _matching(stored.select(*self.keys, PART), keys, self.keys)
+        parts = places.withColumn(PART, self._part(state)) if self._parts_of_keys(state) else places
+        before = _matching(_pruned(stored, parts), keys, self.keys).withColumn(IMAGE, F.lit(BEFORE))
+        written = changed.where(~quoted(DELETED)).drop(DELETED)
+        after = union_branches(self._stored(state).drop(PART, COMMIT).limit(0), written)
+        after = after.withColumn(PART, self._part(state)).withColumn(IMAGE, F.lit(AFTER))
+        if not self._write_feed(union_branches(before.drop(COMMIT), after), commit):
             return None
-        stored = self._stored(state).where(quoted(PART).isin(touched)).drop(PART)
-        same = [stored[k].eqNullSafe(changed[k]) for k in self.keys]
-        kept = stored.join(changed.select(*self.keys), same, "left_anti")
-        merged = union_branches(kept, changed.where(~quoted(DELETED)).drop(DELETED))
-        self._put(merged.withColumn(PART, self._part(state)), f"{aside}/rows")
-        state = self._save({**state, "pending": {"commit": commit, "parts": touched}})
+        state = self._save({**state, "pending": {"commit": commit, "keys": self.keys}})
         self._follow(self._finish(state))
         return commit
 
-    def _touched(self, state: dict, changed: DataFrame) -> list[str]:
-        """The partitions that hold a changed key or will: as many names as there are partitions at most."""
-        if not state["partition_by"]:
-            found = changed.select(self._part(state).alias(PART))
-        else:  # a key may move from another partition
-            stored = self._stored(state).select(*self.keys, PART)
-            same = [stored[k].eqNullSafe(changed[k]) for k in self.keys]
-            found = stored.join(changed.select(*self.keys), same, "left_semi").select(PART)
-            if state["partition_by"] in changed.columns:
-                found = found.unionAll(changed.where(~quoted(DELETED)).select(self._part(state)))
-        return sorted(r[PART] for r in found.distinct().collect())
+    def _parts_of_keys(self, state: Mapping) -> bool:
+        return not state["partition_by"] or state["partition_by"] in self.keys
 
     def _finish(self, state: dict) -> dict:
-        """Put the merged partitions, which lie aside, in their place; doing so again gives the same table."""
-        commit, parts = state["pending"]["commit"], state["pending"]["parts"]
-        aside, folder = f"{self.path}/pending-{commit}", f"{self.path}/{state['folder']}"
-        merged = self._read(state, f"{aside}/rows")
-        self._put(merged, folder, partitionOverwriteMode="dynamic")
-        # Overwriting leaves partitions alone that have no row any more.
-        left = {r[PART] for r in merged.select(PART).distinct().collect()}
-        for part in set(parts) - left:
-            files.delete_partition(self.spark, folder, PART, part)
-        state = self._save({**{k: v for k, v in state.items() if k != "pending"}, "commit": commit})
-        files.delete(self.spark, aside)
-        return state
+        """Merge the pending commit's feed into the table; doing so again gives the same table."""
+        commit, keys, folder = state["pending"]["commit"], state["pending"]["keys"], f"{self.path}/{state['folder']}"
+        feed = self._read_feed(state, [commit])
+        # Which parts are read is known once the feed is: Spark prunes them by the distinct names.
+        parts = feed.where(quoted(IMAGE).isin(BEFORE, AFTER))
+        kept = hard_delete(_pruned(self._stored(state), parts), feed, keys)
+        written = feed.where(quoted(IMAGE) == AFTER).drop(IMAGE)
+        self._put(union_branches(kept, written), folder, partitionOverwriteMode="dynamic")
+        # Overwriting leaves partitions alone that have no row any more: those that only lost rows are looked at.
+        lost = parts.select(PART).distinct().join(written.select(PART).distinct(), PART, "left_anti")
+        still = hard_delete(_pruned(self._stored(state), lost), feed, keys).select(PART).distinct()
+        for row in lost.join(still, PART, "left_anti").collect():
+            files.delete_partition(self.spark, folder, PART, row[PART])
+        return self._save({**{k: v for k, v in state.items() if k != "pending"}, "commit": commit})
 
     def upsert(self, df: DataFrame, order: Iterable[str] = (), commit: str | None = None) -> str | None:
         """Insert or replace by key, of rows with one key the greatest by ``order``. A missing table is made."""
@@ -291,3 +371,15 @@ class KeyedTable:
         # A full load has a folder of its own: partitions that point elsewhere are dropped and found again.
         self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
         self.spark.catalog.refreshTable(name)
+
+
+def _matching(stored: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows of the changed keys; the changes are the side that Spark may broadcast."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    asked = changed.select(*[quoted(k).alias(n) for k, n in zip(keys, names)])
+    return stored.join(asked, [stored[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)], "left_semi")
+
+
+def _pruned(stored: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored rows of the parts that ``parts`` names; other parts are not read where these names are few."""
+    return stored.join(parts.select(PART).distinct(), PART, "left_semi")

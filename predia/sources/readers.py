@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from predia.operators.cleaning import quoted
+from predia.sources.split_csv import can_split, read_split_csv
 
 
 class UnknownFormatError(ValueError):
@@ -47,8 +48,9 @@ def read_table(
 ) -> DataFrame:
     """All files under ``path``, its subfolders too.
 
-    CSV has a header, commas and double quotes; a text with line breaks needs ``multiLine=True``, which makes every file
-    one task. JSON files hold one document each, its records under the field
+    CSV has a header, commas and double quotes, and may have line breaks inside quotes, see ``split_csv``. With
+    ``multiLine`` set, true or false, or an option that reading in splits does not know, Spark's reader takes the files;
+    where a value may hold a line break that is a task a file. JSON files hold one document each, its records under the field
     ``record_path`` (a record, or a list of them); with ``None`` the document is the record. ``keyed`` reads the
     current rows of a keyed table.
     """
@@ -56,6 +58,10 @@ def read_table(
         from predia.sources.keyed_table import KeyedTable
 
         return KeyedTable(spark, path).snapshot()
+    if fmt == "csv" and "multiLine" not in options:
+        if can_split(wanted := {**FORMATS["csv"], **options}):
+            return read_split_csv(spark, lambda: of_mode(spark.read, mode), path, wanted, schema)
+        options["multiLine"] = True
     reader = reader_of(spark.read, fmt, mode, **options)
     if schema is not None:
         reader = reader.schema(schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -11,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from predia.sources.keyed_table import KeyedTable, MissingTableError
 from predia.sources.readers import of_mode, read_table, reader_of
 
+# So many files a batch, where the caller does not say.
+MOST_FILES = 10_000
+
 
 def read_new_files(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", mode: str | None = "cdc",
@@ -20,7 +23,8 @@ def read_new_files(
 
     JSON gives documents; ``readers.records`` takes their records out.
     """
-    reader = reader_of(spark.readStream, fmt, mode).schema(schema)
+    options = {"multiLine": True} if fmt == "csv" else {}
+    reader = reader_of(spark.readStream, fmt, mode, **options).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -28,19 +32,21 @@ def read_new_files(
 
 def stream_files(
     spark: SparkSession, path: str, fmt: str, mode: str | None, table: KeyedTable, order: Iterable[str],
-    checkpoint: str, prepare: Callable[[DataFrame], DataFrame], max_files: int | None = None, **kwargs,
+    checkpoint: str, prepare: Callable[[DataFrame], DataFrame], max_files: int | None = None,
+    read_options: Mapping[str, object] | None = None, **kwargs,
 ) -> StreamingQuery:
     """Apply the files that no earlier run took, read as a batch reads them.
 
+    A batch takes ``max_files`` at most, so that the names on the driver stay bounded; a run goes on until all are taken.
+
     The stream only lists names: the content column of ``binaryFile`` is never read. The files of a batch are then
     read together, with all columns that any of them has. What a batch reader refuses ends the batch before the
     checkpoint moves, so no file counts as taken that was not applied.
     """
     reader = of_mode(spark.readStream, mode).format("binaryFile").schema(
         "path string, modificationTime timestamp, length long, content binary")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    options = {"mergeSchema": True} if fmt == "parquet" else {}
+    reader = reader.option("maxFilesPerTrigger", max_files or MOST_FILES)
+    options = {**({"mergeSchema": True} if fmt == "parquet" else {}), **(read_options or {})}
 
     def read(batch: DataFrame) -> DataFrame | None:
         names = sorted(r["path"] for r in batch.collect())

@@ -78,6 +78,18 @@ def _(spark, folder):
     return read_table(spark, path, "csv", multiLine=True)
 
 
+@query("csv_line_breaks_split", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text, source FROM documents""")
+def _(spark, folder):
+    """Texts with line breaks from few files, read in many small splits."""
+    path = scratch_path(spark, "csv-split")
+    rows = read(spark, folder, "documents").select("doc_id", "text", "source")
+    rows.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    return read_table(spark, path, "csv")
+
+
 @query("json_round_trip", "SELECT event_id, user_id, event_type, value FROM events")
 def _(spark, folder):
     path = scratch_path(spark, "json")
@@ -206,6 +218,31 @@ def _(spark, folder):
     return spark.read.parquet(f"{path}/passes")
 
 
+@query("incremental_with_deletes", """
+    SELECT CASE WHEN o_orderstatus = 'F' THEN 'kept' WHEN o_orderpriority = '5-LOW' THEN 'deleted' ELSE 'changed' END AS news,
+        o_orderkey, CASE WHEN o_orderstatus = 'F' OR o_orderpriority = '5-LOW' THEN o_totalprice ELSE o_totalprice + 1 END
+        AS o_totalprice FROM orders""")
+def _(spark, folder):
+    """What a consumer learns in two reads: first all rows, then those that changed or went in two commits."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    path = scratch_path(spark, "with-deletes")
+    table = KeyedTable(spark, f"{path}/orders", "o_orderkey")
+    reader = IncrementalReader(table, f"{path}/state", "orders")
+    table.overwrite(orders, FIRST)
+    reader.read(deletes=True).write.parquet(f"{path}/first")
+    reader.acknowledge()
+    later = orders.where("o_orderstatus <> 'F'")
+    table.upsert(later.withColumn("o_totalprice", F.col("o_totalprice") + 1), commit=SECOND)
+    table.delete(later.where("o_orderpriority = '5-LOW'"), commit=THIRD)
+    news = reader.read(deletes=True)
+    kept = spark.read.parquet(f"{path}/first").join(news.select("o_orderkey"), "o_orderkey", "left_anti")
+    # A deleted row is told as it stood last.
+    price = F.when(F.col("_deleted"), F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice"))
+    return kept.select(F.lit("kept").alias("news"), "o_orderkey", "o_totalprice").unionByName(
+        news.select(F.when(F.col("_deleted"), "deleted").otherwise("changed").alias("news"), "o_orderkey",
+                    price.alias("o_totalprice")))
+
+
 @query("commit_times", f"""
     SELECT CASE WHEN o_orderstatus = 'F' THEN '{SECOND}' ELSE '{FIRST}' END AS commit_time, count(*) AS n,
            '{FIRST}' AS first_commit, '{SECOND}' AS last_commit FROM orders GROUP BY 1""")
@@ -267,15 +304,19 @@ def _(spark, folder):
     return curated_table(spark, job, "shop", "pedidos", config).snapshot()
 
 
-def _deliveries(spark: SparkSession, folder: str, fmt: str, added: bool = False) -> DataFrame:
+def _deliveries(
+    spark: SparkSession, folder: str, fmt: str, added: bool = False, line_breaks: bool = False,
+) -> DataFrame:
     """A full load and two deliveries of changes, each taken by its own run; the second may bring a new column."""
     root = scratch_path(spark, f"deliveries-{fmt}")
     job = JobConfig(f"{root}/raw", f"{root}/curated", "lake", "market", "curated_", "_tb", fmt)
     config, source = TableConfig("o_orderkey"), job.source("shop", "pedidos")
     orders = read(spark, folder, "orders")
+    if line_breaks:
+        orders = orders.withColumn("o_orderpriority", F.replace("o_orderpriority", F.lit("-"), F.lit('",\n"')))
     feed_files(_raw_orders(orders.where("o_orderstatus <> 'O'"), "'I'", "2024-01-01 00:00:00"), source, "LOAD", fmt)
     load_table(spark, job, "shop", "pedidos", "fl", config)
-    op = "CASE o_orderpriority WHEN '1-URGENT' THEN 'D' ELSE 'U' END"
+    op = "CASE WHEN o_orderpriority LIKE '1%' THEN 'D' ELSE 'U' END"
     for day in (2, 3):
         part = orders.where(f"o_orderstatus <> 'F' AND o_orderkey % 2 = {day - 2}")
         rows = _raw_orders(part, op, f"2024-01-0{day} 00:00:00", 1.0)
@@ -300,6 +341,15 @@ def _(spark, folder):
     return rows.select(F.col("o_orderkey").cast("long"), "o_orderpriority", F.col("o_totalprice").cast("double"), STAMP)
 
 
+@query("curated_change_load_csv_line_breaks", f"""
+    SELECT * EXCLUDE (added) REPLACE (replace(coalesce(o_orderpriority, '5-LOW'), '-', '",' || chr(10) || '"') AS o_orderpriority)
+    FROM ({DELIVERIES_SQL})""")
+def _(spark, folder):
+    """Priorities with quotes, commas and line breaks, in the full load and in the changes."""
+    rows = _deliveries(spark, folder, "csv", line_breaks=True)
+    return rows.select(F.col("o_orderkey").cast("long"), "o_orderpriority", F.col("o_totalprice").cast("double"), STAMP)
+
+
 @query("curated_change_load_json", f"SELECT * EXCLUDE (added) FROM ({DELIVERIES_SQL})")
 def _(spark, folder):
     return _deliveries(spark, folder, "json")

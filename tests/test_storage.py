@@ -1,4 +1,9 @@
+import csv
 import datetime as dt
+import io
+import json
+import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +17,10 @@ from predia.sources.config import (
     ConfigError, JobConfig, TableConfig, discover_tables, load_table_config, selected_tables, table_config,
 )
 from predia.sources.incremental import IncrementalReader
-from predia.sources.keyed_table import COMMIT, KeyedTable, MissingTableError
+from predia.sources.keyed_table import COMMIT, FeedGoneError, KeyedTable, MissingTableError, _pruned
 from predia.sources.readers import UnknownFormatError, query_view, read_table
+from predia.sources.split_csv import BrokenFileError, numbered_lines
+from predia.streaming import change_stream
 from predia.streaming.change_stream import read_new_files, stream_changes
 from predia.workload import QUERIES
 from predia.workload.storage_queries import feed_files
@@ -52,6 +59,66 @@ def test_csv_with_quotes_commas_and_line_breaks(spark, path, rows):
     assert rows(read_table(spark, path, "csv")) == [("1", 'a, "b"')]
 
 
+def write_plain(spark, path, name, rows, **kwargs):
+    text = io.StringIO()
+    csv.writer(text, lineterminator=kwargs.pop("end", "\n"), **kwargs).writerows(rows)
+    files.write_text(spark, f"{path}/{name}", text.getvalue())
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_csv_splits_hold_any_line_breaks(spark, path, rows, tiny_splits, seed):
+    rng = random.Random(seed)
+    values = ["", "a", "a,b", 'say "x"', "two\nlines", "\n", '"', '",\n"', "\n\n\nlong " * 30, "é\nü", "a\r\nb", " x "]
+    expected = []
+    for file in range(3):
+        table = [(str(i + 100 * file), rng.choice(values), rng.choice(values)) for i in range(rng.randrange(1, 60))]
+        write_plain(spark, path, f"{file}.csv", [("id", "a", "b"), *table], quoting=csv.QUOTE_ALL,
+                    end="\r\n" if file == 1 else "\n")
+        expected += [tuple(v or None for v in row) for row in table]
+    df = read_table(spark, path, "csv", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    assert rows(df) == sorted(expected, key=repr)
+
+
+def test_a_csv_file_is_many_tasks(spark, path, tiny_splits):
+    table = [(i, f"line\nbreak {i}") for i in range(200)]
+    write_plain(spark, path, "x.csv", [("id", "text"), *table])
+    lines = numbered_lines(spark.read.option("lineSep", "\n").text(path), {"quote": '"', "escape": '"'})
+    splits = lines.groupBy("block").count()
+    assert splits.count() > 20 and splits.agg(F.max("count")).first()[0] < 20
+    assert read_table(spark, path, "csv").count() == 200
+
+
+def test_csv_headers_of_their_own_and_schemas(spark, path, rows, tiny_splits):
+    write_plain(spark, path, "a.csv", [("id", "text"), (1, "x\ny")])
+    write_plain(spark, path, "b.csv", [("text", "id", "more\nof it"), ("z", 2, "w")])
+    write_plain(spark, path, "empty.csv", [])
+    df = read_table(spark, path, "csv")
+    assert df.columns == ["id", "text", "more\nof it"] or set(df.columns) == {"id", "text", "more\nof it"}
+    assert rows(df, "id", "text") == [("1", "x\ny"), ("2", "z")]
+    write_plain(spark, f"{path}/typed", "a.csv", [("id", "text"), (1, "x\ny"), ("no", "")])
+    typed = read_table(spark, f"{path}/typed", "csv", schema="number int, said string")
+    assert rows(typed) == [(1, "x\ny"), (None, None)]
+    files.write_text(spark, f"{path}/back/a.csv", 'id,text\n1,"a \\" b\nc"\n2,d\n')
+    assert rows(read_table(spark, f"{path}/back", "csv", escape="\\")) == [("1", 'a " b\nc'), ("2", "d")]
+
+
+def test_a_quote_that_does_not_close_is_an_error(spark, path):
+    files.write_text(spark, f"{path}/a.csv", 'id,text\n1,"open\n2,x\n')
+    with pytest.raises(BrokenFileError, match="a.csv"):
+        read_table(spark, path, "csv")
+
+
 def test_json_records_of_every_shape(spark, path, rows):
     files.write_text(spark, f"{path}/many/x.json", '{"id": [{"a": 1},\n {"a": 2}], "other": 3}')
     files.write_text(spark, f"{path}/one/x.json", '{\n"id": {"a": 5}}')
@@ -92,13 +159,13 @@ def make(spark, path, **kwargs):
 
 
 def listing(spark, path):
-    """Data files below a path with their times of change."""
+    """Data files of a table, not those of its feed, with their times of change."""
     jvm = spark.sparkContext._jvm
     fs, location = files.file_system(spark, path)
     found, walk = {}, fs.listFiles(location, True)
     while walk.hasNext():
         status = walk.next()
-        if status.getPath().getName().endswith(".parquet"):
+        if status.getPath().getName().endswith(".parquet") and "/feed/" not in status.getPath().toString():
             found[status.getPath().toString()] = status.getModificationTime()
     assert jvm is not None
     return found
@@ -167,7 +234,7 @@ def test_a_change_leaves_other_partitions_alone_and_one_copy(spark, path, rows):
     assert table.snapshot().count() == 190
     assert sum(1 for _ in listing(spark, path)) <= 8 and not [f for f in files.folders(spark, path) if "pending" in f]
     table.overwrite(spark.range(5).selectExpr("CAST(id AS INT) AS id", "'b' AS v", "1 AS t"))
-    assert len(files.folders(spark, path)) == 1, "the folder of the older load is gone"
+    assert len([f for f in files.folders(spark, path) if f != "feed"]) == 1, "the folder of the older load is gone"
 
 
 @pytest.mark.parametrize("step", ["_put", "delete_partition", "_save"])
@@ -219,7 +286,7 @@ def test_partitioned_table_keeps_types_nulls_and_empty_text(spark, path, rows):
     table.upsert(spark.createDataFrame([(1, "02"), (5, "")], "id int, state string"))
     moved = [(1, "02"), (2, "02"), (3, None), (4, ""), (5, "")]
     assert rows(table.snapshot(), "id", "state") == sorted(moved, key=repr)
-    assert len(files.folders(spark, f"{path}/{files.folders(spark, path)[0]}")) == 3, "emptied partitions are gone"
+    assert len(files.folders(spark, f"{path}/{table._state()['folder']}")) == 3, "emptied partitions are gone"
     table.delete(spark.createDataFrame([(3,)], "id int"))
     assert table.snapshot().count() == 4
 
@@ -264,6 +331,62 @@ def test_incremental_reader(spark, path, rows):
         IncrementalReader(KeyedTable(spark, f"{path}/none", "id"), path).read()
 
 
+def test_the_feed_names_deleted_rows(spark, path, rows):
+    table = make(spark, f"{path}/t")
+    reader = IncrementalReader(table, f"{path}/state", "t")
+    assert rows(reader.read(deletes=True), "id", "_deleted") == [(1, False), (2, False), (3, False)]
+    reader.acknowledge()
+    assert reader.read(deletes=True).count() == 0
+    table.apply_changes(spark.createDataFrame([(1, "u", 5, "U"), (2, "", 5, "D"), (77, "", 5, "D")], FEED), ["t"])
+    table.upsert(spark.createDataFrame([(1, "u2", 6, True), (9, "n", 6, False)], f"{SCHEMA}, w boolean"), ["t"])
+    table.append(spark.createDataFrame([(10, "x", 1)], SCHEMA))
+    table.delete(spark.createDataFrame([(9,)], "id int"))
+    found = rows(reader.read(deletes=True), "id", "v", "w", "_deleted")
+    assert found == [(1, "u2", True, False), (10, "x", None, False), (2, "b", None, True), (9, "n", False, True)]
+    reader.acknowledge()
+    table.overwrite(spark.createDataFrame([(3, "c", 1), (10, "y", 9)], SCHEMA))
+    found = rows(reader.read(deletes=True), "id", "v", "_deleted")
+    assert found == [(1, None, True), (10, "y", False), (3, "c", False)]
+    reader.acknowledge()
+    table.upsert(spark.createDataFrame([(3, "d", 2)], SCHEMA), ["t"])
+    assert rows(table.images(reader.last_processed()), "id", "v", "_image") == [(3, "c", "before"), (3, "d", "after")]
+    seen = reader.last_processed()
+    table.forget_feed(table.last_commit())
+    with pytest.raises(FeedGoneError):
+        table.changed_rows(seen)
+
+
+def test_only_the_folders_of_new_commits_are_read(spark, path):
+    table = make(spark, path)
+    for i in range(4):
+        table.upsert(spark.createDataFrame([(i, "x", i)], SCHEMA), ["t"], commit=f"9000000000000000{i}")
+    read = {f.split(f"{COMMIT}=")[1].split("/")[0] for f in table.images("90000000000000001").inputFiles()}
+    assert read == {"90000000000000002", "90000000000000003"}
+
+
+def test_ten_small_batches_write_little_more_than_what_they_touch(spark, path):
+    table = KeyedTable(spark, path, "id", buckets=16)
+    table.overwrite(spark.range(200_000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS v", "1 AS t"))
+    written = []
+    put = table._put
+    touched = sum(f.stat().st_size for f in pathlib.Path(path).rglob("*.parquet")) / 16
+    table._put = lambda df, folder, *args, **kwargs: (put(df, folder, *args, **kwargs), written.append(folder))
+    for i in range(10):
+        table.apply_changes(spark.createDataFrame([(i, "u", 2, "U")], "id long, v string, t int, Op string"), ["t"])
+    feed = sum(f.stat().st_size for f in pathlib.Path(f"{path}/feed").rglob("*.parquet"))
+    assert len(written) == 10 and feed < 0.2 * 10 * touched
+
+
+def test_a_part_is_read_only_where_a_change_lies(spark, path):
+    table = KeyedTable(spark, path, "id", buckets=16)
+    table.overwrite(spark.range(2000).selectExpr("id", "1 AS t"))
+    table.upsert(spark.createDataFrame([(1, 2)], "id long, t int"), ["t"])
+    state = table._state()
+    feed = table._read_feed(state, [state["commit"]]).where("_image IN ('before', 'after')")
+    plan = _pruned(table._stored(state), feed)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_a_small_file_is_replaced_at_once(spark, path):
     for text in ("one", "two"):
         files.write_text(spark, f"{path}/x.json", text)
@@ -405,6 +528,61 @@ def test_csv_changes_have_no_header_row_and_keep_their_quotes(spark, path, rows)
     assert rows(table.snapshot(), "id", "v", "extra") == sorted([("1", 'x, "y"', None), ("3", None, "e")], key=repr)
 
 
+def csv_table(spark, path, sep=",", **entries):
+    job = JobConfig(f"{path}/raw", f"{path}/lake", file_format="csv", mappings=f"{path}/mappings")
+    files.write_text(spark, f"{path}/mappings/mapping_t.json", json.dumps({"primary_key": "id", **entries}))
+    files.write_text(spark, f"{path}/raw/s/t/LOAD1.csv", "id,text,field_timestamp\n1,a,2024-01-01 00:00:00\n".replace(",", sep))
+    load_table(spark, job, "s", "t", "fl")
+    return job
+
+
+def test_a_line_break_in_a_csv_change_stays_in_its_row(spark, path, rows):
+    job = csv_table(spark, path)
+    files.write_text(spark, f"{path}/raw/s/t/20240102-1.csv",
+                     'Op,id,text,field_timestamp\nU,1,"two\nlines",2024-01-02 00:00:00\n')
+    load_table(spark, job, "s", "t", "cdc")
+    assert rows(curated_table(spark, job, "s", "t").snapshot(), "id", "text") == [("1", "two\nlines")]
+
+
+def test_an_unknown_operation_ends_the_run_before_anything_moves(spark, path, rows):
+    job = csv_table(spark, path)
+    file = f"{path}/raw/s/t/20240102-1.csv"
+    files.write_text(spark, file, "Op,id,text,field_timestamp\nX,1,b,2024-01-02 00:00:00\nU,2,c,2024-01-02 00:00:00\n")
+    with pytest.raises(Exception, match="unknown operation in Op: X"):
+        load_table(spark, job, "s", "t", "cdc")
+    assert rows(curated_table(spark, job, "s", "t").snapshot(), "id", "text") == [("1", "a")]
+    files.write_text(spark, file, "Op,id,text,field_timestamp\nD,1,b,2024-01-02 00:00:00\nU,2,c,2024-01-02 00:00:00\n")
+    load_table(spark, job, "s", "t", "cdc")
+    assert rows(curated_table(spark, job, "s", "t").snapshot(), "id", "text") == [("2", "c")]
+
+
+def test_reader_options_and_layout_come_from_the_configuration(spark, path, rows):
+    job = csv_table(spark, path, ";", read_options={"sep": ";"}, buckets=3, write_options={"compression": "zstd"})
+    files.write_text(spark, f"{path}/raw/s/t/LOAD1.csv", "id;text;field_timestamp\n1;a,b;2024-01-01 00:00:00\n")
+    load_table(spark, job, "s", "t", "fl")
+    files.write_text(spark, f"{path}/raw/s/t/20240102-1.csv",
+                     'Op;id;text;field_timestamp\nU;2;"c;\nd";2024-01-02 00:00:00\n')
+    load_table(spark, job, "s", "t", "cdc")
+    table = curated_table(spark, job, "s", "t")
+    assert rows(table.snapshot(), "id", "text") == [("1", "a,b"), ("2", "c;\nd")]
+    assert table.buckets == 3 and table._state()["buckets"] == 3 and table.write_options["compression"] == "zstd"
+    for wrong in ({"buckets": 0}, {"buckets": "4"}, {"read_options": "x"}):
+        with pytest.raises(ConfigError):
+            TableConfig.parse({"primary_key": "id", **wrong})
+
+
+def test_a_batch_takes_a_bounded_number_of_files(spark, path, rows, monkeypatch):
+    job = csv_table(spark, path)
+    for i in range(5):
+        files.write_text(spark, f"{path}/raw/s/t/20240102-{i}.csv",
+                         f"Op,id,text,field_timestamp\nU,{i},new,2024-01-02 00:00:0{i}\n")
+    monkeypatch.setattr(change_stream, "MOST_FILES", 2)
+    load_table(spark, job, "s", "t", "cdc")
+    table = curated_table(spark, job, "s", "t")
+    assert rows(table.snapshot(), "id") == [(str(i),) for i in range(5)]
+    assert table.last_commit().endswith(f"{2:012d}")
+
+
 def test_json_changes_are_unwrapped(spark, path, rows):
     job, source = csv_job(spark, path, "json")
     files.write_text(spark, f"{source}/LOAD1.json",
