@@ -314,6 +314,12 @@ class KeyedTable:
             return self.overwrite(rows, commit)
         return self._change(rows.withColumn(DELETED, F.lit(False)), commit or self.new_commit())
 
+    def merge(self, rows: DataFrame, removed: DataFrame, commit: str | None = None) -> str | None:
+        """Insert or replace rows, one per key, and remove other keys, in one commit."""
+        gone = removed.select(*self.keys).withColumn(DELETED, F.lit(True))
+        changed = union_branches(strip_envelope(rows).withColumn(DELETED, F.lit(False)), gone)
+        return self._change(changed, commit or self.new_commit())
+
     def apply_changes(
         self, changes: DataFrame, order: Iterable[str], op: str = "Op", guard_late: bool = False,
         commit: str | None = None,
