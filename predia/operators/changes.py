@@ -60,6 +60,11 @@ def known_operation(op: str = "Op", operations: Iterable[str] = OPERATIONS) -> C
     return F.when(quoted(op).isNull() | quoted(op).isin(*operations), quoted(op)).otherwise(unknown)
 
 
+def change_strength(op: str = "Op") -> Column:
+    """What counts among equally new changes: a delete before a write, a write before a row without an operation."""
+    return F.when(quoted(op) == DELETE, 2).when(quoted(op).isNotNull(), 1).otherwise(0)
+
+
 def settle_changes(
     changes: DataFrame, keys: Iterable[str], order: Iterable[str], op: str = "Op", null_op_is_upsert: bool = False
 ) -> DataFrame:
@@ -72,8 +77,7 @@ def settle_changes(
     changes = changes.withColumn(op, known_operation(op))
     if null_op_is_upsert:
         changes = changes.withColumn(op, F.coalesce(quoted(op), F.lit("U")))
-    strength = F.when(quoted(op) == DELETE, 2).when(quoted(op).isNotNull(), 1).otherwise(0)
-    newest = one_per_key(changes.withColumn("_strength", strength), keys, [*order, "_strength"])
+    newest = one_per_key(changes.withColumn("_strength", change_strength(op)), keys, [*order, "_strength"])
     return newest.where(quoted(op).isNotNull()).drop("_strength")
 
 

@@ -10,8 +10,10 @@ from predia.fixed_values import FEED_STAMP, STAMP, TEXT_DATES
 from predia.operators.changes import stamp
 from predia.operators.cleaning import clean_strings
 from predia.operators.schema import dates_as_text
+from predia.plans.quarantine import without_bad_rows
 from predia.plans.together import run_together
-from predia.sources.config import ConfigError, JobConfig, TableConfig, discover_tables
+from predia.sources import files
+from predia.sources.config import ConfigError, JobConfig, TableConfig, discover_tables, selected_tables
 from predia.sources.keyed_table import KeyedTable, MissingTableError
 from predia.sources.readers import read_table
 from predia.streaming.change_stream import stream_files
@@ -31,6 +33,11 @@ def curated_table(
                       write_options=config.write_options, catalog_name=job.catalog_name(schema, table))
 
 
+def bad_rows_folder(job: JobConfig, schema: str, table: str) -> str:
+    """Where the rows of a table lie that break its rules; ``quarantine.quarantined`` reads them."""
+    return f"{job.target(schema, table)}-bad-rows"
+
+
 def load_table(
     spark: SparkSession, job: JobConfig, schema: str, table: str, mode: str, config: TableConfig | None = None,
     guard_late: bool = False, max_files: int | None = None,
@@ -40,6 +47,9 @@ def load_table(
     ``fl`` takes the full-load files, all of them each time. ``cdc`` takes the change files that no earlier run took:
     a stream's checkpoint beside the table remembers them, so a run costs what is new. A change counts whatever its
     time, also after a fresh full load; with ``guard_late`` one that is older than the stored row is left out.
+
+    Rows that break the rules of the table's configuration are put aside; more than it allows end the load, of changes
+    before their files count as taken.
     """
     config = config or job.table_config(spark, table)
     source, target = job.source(schema, table), curated_table(spark, job, schema, table, config)
@@ -48,14 +58,22 @@ def load_table(
         raw = read_table(spark, source, job.file_format, mode, **config.read_options)
         if config.primary_key not in raw.columns:
             raise ConfigError(f"{source} has no column {config.primary_key}, the key of {table}")
-        return target.write(curate(raw, feed_stamp, text_dates), mode, [STAMP])
+        commit, rows = target.new_commit(), curate(raw, feed_stamp, text_dates)
+        if config.rules:
+            rows = without_bad_rows(rows, config.rules, bad_rows_folder(job, schema, table), commit, config.most_bad)
+        return target.write(rows, mode, [STAMP], commit)
     before = target.last_commit()
     if before is None:
         raise MissingTableError(target.path)
+    check = None
+    if config.rules:
+        def check(rows: DataFrame, commit: str) -> DataFrame:
+            return without_bad_rows(rows, config.rules, bad_rows_folder(job, schema, table), commit, config.most_bad)
+
     stream_files(
         spark, source, job.file_format, mode, target, [STAMP], f"{target.path}/checkpoint",
         prepare=lambda batch: curate(batch, feed_stamp, text_dates), max_files=max_files,
-        read_options=config.read_options, guard_late=guard_late,
+        read_options=config.read_options, guard_late=guard_late, check=check,
     ).awaitTermination()
     after = target.last_commit()
     return after if after != before else None
@@ -77,3 +95,12 @@ def load_all(
             spark, job, schema, table, mode, guard_late=guard_late)
         for schema, table in tables
     }, parallel)
+
+
+def load_selected(
+    spark: SparkSession, job: JobConfig, mode: str, marketplace_schema: str, customer_schema: str, **kwargs,
+) -> tuple[dict[tuple[str, str], str | None], list[tuple[str, str]]]:
+    """The tables that are to be ingested, of those that the source has; and the others, which it lacks."""
+    tables = selected_tables(marketplace_schema, customer_schema)
+    there = [t for t in tables if files.exists(spark, job.source(*t))]
+    return load_all(spark, job, mode, there, **kwargs), [t for t in tables if t not in there]

@@ -21,7 +21,8 @@ class TableConfig:
     """Key of a table, and optionally its partition column, ordering column and column mapping.
 
     ``read_options`` are the options of the format in which its files come, ``buckets`` and ``write_options`` how the
-    curated table is laid out and written.
+    curated table is laid out and written. ``rules`` are the types of its columns and which of them are required, see
+    ``quarantine``; of a delivery ``most_bad`` rows may break them.
     """
 
     primary_key: str
@@ -31,6 +32,8 @@ class TableConfig:
     read_options: Mapping[str, object] = field(default_factory=dict)
     buckets: int | None = None
     write_options: Mapping[str, str] = field(default_factory=dict)
+    rules: Mapping[str, str] = field(default_factory=dict)
+    most_bad: int | None = None
 
     @classmethod
     def parse(cls, entries: Mapping) -> TableConfig:
@@ -39,7 +42,7 @@ class TableConfig:
         for name in ("partition_key", "precomb_key"):
             if name in entries and not isinstance(entries[name], str):
                 raise ConfigError(f"{name} must be a text")
-        for name in ("columnas", "read_options", "write_options"):
+        for name in ("columnas", "read_options", "write_options", "rules"):
             if not isinstance(entries.get(name, {}), Mapping):
                 raise ConfigError(f"{name} must hold entries")
         buckets = entries.get("buckets")
@@ -48,6 +51,7 @@ class TableConfig:
         return cls(
             entries["primary_key"], entries.get("partition_key"), entries.get("precomb_key"),
             entries.get("columnas", {}), entries.get("read_options", {}), buckets, entries.get("write_options", {}),
+            entries.get("rules", {}), entries.get("most_bad"),
         )
 
 

@@ -58,11 +58,13 @@ def stream_files(
 def stream_changes(
     changes: DataFrame, table: KeyedTable, order: Iterable[str], checkpoint: str, op: str = "Op",
     guard_late: bool = False, prepare: Callable[[DataFrame], DataFrame | None] | None = None,
+    check: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start a query that applies every new file to ``table`` and ends (trigger ``availableNow``).
 
     Each micro-batch is one commit named after the batch. A batch that is replayed after a crash writes the same rows
-    by key, so it counts once. The checkpoint moves only after the commit is written.
+    by key, so it counts once. The checkpoint moves only after the commit is written. ``check`` gets the rows and the
+    name of the commit, and gives those that are to be applied.
     """
     order = list(order)
     last = table.last_commit()
@@ -73,9 +75,12 @@ def stream_changes(
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Streams run without adaptive execution; a batch in here is an ordinary frame and gets it back.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        commit = f"{origin}-{batch_id:012d}"
         rows = batch if prepare is None else prepare(batch)
+        if rows is not None and check is not None:
+            rows = check(rows, commit)
         if rows is not None:
-            table.apply_changes(rows, order, op, guard_late, commit=f"{origin}-{batch_id:012d}")
+            table.apply_changes(rows, order, op, guard_late, commit=commit)
 
     return (
         changes.writeStream.foreachBatch(apply)

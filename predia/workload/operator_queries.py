@@ -16,7 +16,7 @@ from predia.operators.cleaning import clean_strings, fill_zero, require
 from predia.operators.enrich import (
     left_fan_out, lookup, observe_count, pivot_attributes, select_constants, union_branches,
 )
-from predia.operators.json_flatten import flatten_json
+from predia.operators.json_flatten import explode_keys, flatten_json
 from predia.operators.latest import newest_rows, one_per_key
 from predia.operators.schema import (
     add_surrogate_key, apply_mapping, complete_columns, conform, dates_as_text, rename_by_text,
@@ -106,7 +106,7 @@ def _(spark, folder):
                          null_op_is_upsert=True)
 
 
-@query("cdc_late_changes", """
+LATE_SQL = """
     WITH later AS (SELECT * FROM events WHERE event_type <> 'error'
                    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
     views AS (SELECT * FROM events WHERE event_type IN ('view', 'error')
@@ -114,7 +114,10 @@ def _(spark, folder):
     fresh AS (SELECT v.* FROM views v LEFT JOIN later l ON v.user_id = l.user_id
               WHERE l.user_id IS NULL OR (v.ts, v.event_id) >= (l.ts, l.event_id))
     SELECT * FROM later WHERE user_id NOT IN (SELECT user_id FROM fresh)
-    UNION ALL SELECT * FROM fresh WHERE event_type <> 'error'""")
+    UNION ALL SELECT * FROM fresh WHERE event_type <> 'error'"""
+
+
+@query("cdc_late_changes", LATE_SQL)
 def _(spark, folder):
     events = read(spark, folder, "events")
     order = ["ts", "event_id"]
@@ -598,6 +601,21 @@ def _(spark, folder):
     return flatten_json(documents, "j")
 
 
+@query("json_variant_keys", """
+    SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS event_id, value,
+           strftime(ts, '%Y-%m-%d') AS day FROM events""")
+def _(spark, folder):
+    """Objects whose keys are users, of objects whose keys are events; one document holds an event type's minute."""
+    event = F.struct("value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    users = read(spark, folder, "events").withColumn("event", F.to_json(event)).groupBy(
+        "event_type", F.date_trunc("minute", "ts").alias("minute"), "user_id").agg(
+        F.concat_ws(",", F.collect_list(F.concat(F.lit('"'), "event_id", F.lit('":'), "event"))).alias("events"))
+    documents = users.groupBy("event_type", "minute").agg(F.concat(F.lit("{"), F.concat_ws(",", F.collect_list(
+        F.concat(F.lit('"'), "user_id", F.lit('":{'), "events", F.lit("}")))), F.lit("}")).alias("document"))
+    return explode_keys(documents.drop("minute"), "document", ["user_id", "event_id"],
+                        fields={"value": "$.value double", "day": "$.day string"})
+
+
 # Views and dataset preparation
 
 @query("temp_view_sql", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")

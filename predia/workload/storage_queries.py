@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from predia.fixed_values import STAMP
-from predia.plans.curated import curate, curated_table, load_all, load_table
+from predia.operators.dense_keys import KeyRegistry
+from predia.operators.enrich import union_branches
+from predia.operators.latest import one_per_key
+from predia.operators.reconcile import reconcile
+from predia.plans.curated import bad_rows_folder, curate, curated_table, load_all, load_selected, load_table
 from predia.plans.mapped_load import run_configured_load, run_mapped_load
+from predia.plans.quarantine import quarantined
 from predia.session import scratch_path
 from predia.sources import files
 from predia.sources.config import JobConfig, TableConfig, discover_tables, load_table_config
@@ -18,7 +23,10 @@ from predia.sources.incremental import IncrementalReader
 from predia.sources.keyed_table import COMMIT, KeyedTable
 from predia.sources.readers import read_table
 from predia.streaming.change_stream import read_new_files, stream_changes
-from predia.workload.operator_queries import CDC_SQL, EVERY_OP_SQL, event_base, event_changes
+from predia.streaming.latest_state import stream_latest
+from predia.workload.operator_queries import (
+    CDC_SQL, EVENT_CHANGES, EVERY_OP_SQL, LATE_SQL, event_base, event_changes,
+)
 from predia.workload.registry import query
 from predia.workload.standins import read
 
@@ -360,6 +368,84 @@ def _(spark, folder):
     return _deliveries(spark, folder, "parquet", added=True)
 
 
+@query("quarantine_bad_records", f"""
+    {RAW_SQL}, TIMESTAMP '2024-01-01' AS {STAMP}, NULL AS reasons FROM orders WHERE o_orderkey % 10 > 2
+    UNION ALL SELECT CASE o_orderkey % 10 WHEN 1 THEN NULL ELSE o_orderkey END, NULL, NULL, NULL,
+        CASE o_orderkey % 10 WHEN 0 THEN 'o_totalprice: no double' WHEN 1 THEN 'o_orderkey: missing'
+        ELSE 'Op: unknown operation,o_totalprice: missing' END FROM orders WHERE o_orderkey % 10 <= 2""")
+def _(spark, folder):
+    """A full load of text in which three rows of ten are broken by rule, then what was kept and what was put aside."""
+    root = scratch_path(spark, "quarantine")
+    job = JobConfig(f"{root}/raw", f"{root}/curated", file_format="csv")
+    broken = F.col("o_orderkey") % 10
+    orders = read(spark, folder, "orders")
+    rows = _raw_orders(orders, "CASE o_orderkey % 10 WHEN 2 THEN 'X' ELSE 'I' END", "2024-01-01 00:00:00").withColumns({
+        "o_totalprice": F.when(broken == 0, "12,x").when(broken != 2, F.col("o_totalprice").cast("string")),
+        "o_orderkey": F.when(broken != 1, F.col("o_orderkey"))})
+    feed_files(rows, job.source("shop", "pedidos"), "LOAD", "csv")
+    config = TableConfig("o_orderkey", rules={"o_orderkey": "bigint required", "o_totalprice": "double required"})
+    load_table(spark, job, "shop", "pedidos", "fl", config)
+    kept = curated_table(spark, job, "shop", "pedidos", config).snapshot().select(
+        F.col("o_orderkey").cast("long"), "o_orderpriority", F.col("o_totalprice").cast("double"), STAMP,
+        F.lit(None).cast("string").alias("reasons"))
+    bad = quarantined(spark, bad_rows_folder(job, "shop", "pedidos"))
+    return kept.unionByName(bad.select(
+        F.get_json_object("_record", "$.o_orderkey").cast("long").alias("o_orderkey"),
+        F.array_join("_reasons", ",").alias("reasons")), allowMissingColumns=True)
+
+
+@query("surrogate_key_dense", """
+    WITH first AS (SELECT o_custkey, o_orderpriority, row_number() OVER (ORDER BY o_custkey, o_orderpriority) AS k
+                   FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F')),
+    later AS (SELECT o_custkey, o_orderpriority, (SELECT count(*) FROM first)
+                     + row_number() OVER (ORDER BY o_custkey, o_orderpriority) AS k
+              FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders
+                    EXCEPT SELECT o_custkey, o_orderpriority FROM first)),
+    every AS (SELECT * FROM first UNION ALL SELECT * FROM later)
+    SELECT o_orderkey, every.k AS customer_key FROM orders JOIN every USING (o_custkey, o_orderpriority)""")
+def _(spark, folder):
+    """Two runs: the second has more rows, whose new keys go on after those of the first."""
+    orders = read(spark, folder, "orders")
+    registry = KeyRegistry(spark, scratch_path(spark, "registry"), ["o_custkey", "o_orderpriority"])
+    registry.add(orders.where("o_orderstatus = 'F'"))
+    return registry.keyed(orders, "customer_key").select("o_orderkey", "customer_key")
+
+
+@query("reconcile_full_load", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 500 = 3 THEN 'missing' ELSE 'changed' END AS difference FROM orders
+    WHERE o_orderkey % 500 = 3 OR (o_orderkey % 400 = 7 AND o_orderkey < (SELECT max(o_orderkey) / 8 FROM orders))
+    UNION ALL SELECT -1 - o_orderkey, 'added' FROM orders WHERE o_orderkey % 700 = 5""")
+def _(spark, folder):
+    """A stored table against a copy in which rows were changed, left out and added."""
+    orders = read(spark, folder, "orders")
+    table = KeyedTable(spark, scratch_path(spark, "reconcile"), "o_orderkey")
+    table.overwrite(orders)
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    changed = (F.col("o_orderkey") % 400 == 7) & (F.col("o_orderkey") < top / 8)
+    copy = orders.where("o_orderkey % 500 <> 3").withColumn(
+        "o_totalprice", F.when(changed, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).unionByName(
+        orders.where("o_orderkey % 700 = 5").withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+    return reconcile(table.snapshot(), copy, "o_orderkey")
+
+
+@query("load_selected_tables", """
+    SELECT 'usuario' AS table_name, count(*) AS n FROM customer UNION ALL SELECT 'proyectos', count(*) FROM part""")
+def _(spark, folder):
+    """Of the tables that are to be ingested the source has two, and one that is not to be."""
+    root = scratch_path(spark, "selected")
+    job = JobConfig(f"{root}/raw", f"{root}/curated")
+    sources = {"usuario": read(spark, folder, "customer").withColumnRenamed("c_custkey", "id"),
+               "proyectos": read(spark, folder, "part").withColumnRenamed("p_partkey", "id_proyecto"),
+               "unwanted": read(spark, folder, "nation").withColumnRenamed("n_nationkey", "id")}
+    for table, rows in sources.items():
+        feed_files(rows.withColumns({"field_timestamp": F.lit("2024-01-01 00:00:00"), "Op": F.lit("I")}),
+                   job.source("shop", table), "LOAD")
+    loaded, _ = load_selected(spark, job, "fl", "shop", "crm")
+    counts = [read_table(spark, job.target(*t), "keyed").agg(F.count("*").alias("n")).select(
+        F.lit(t[1]).alias("table_name"), "n") for t in sorted(loaded)]
+    return union_branches(*counts)
+
+
 @query("load_all_configured", """
     SELECT 'clientes' AS table_name, c_custkey AS key, upper(c_name) AS name FROM customer WHERE c_custkey % 3 <> 0
     UNION ALL SELECT 'piezas', p_partkey, CASE p_partkey % 3 WHEN 1 THEN upper(p_name) ELSE p_name END FROM part
@@ -450,6 +536,24 @@ def _(spark, folder):
     return table.snapshot()
 
 
+@query("stream_state_latest", LATE_SQL)
+def _(spark, folder):
+    """The full load, then the newer changes, then the older ones, each in a run of its own."""
+    events = read(spark, folder, "events")
+    root = scratch_path(spark, "state")
+    table, landing = KeyedTable(spark, f"{root}/table", "user_id"), f"{root}/landing"
+    stored = one_per_key(events.where("event_type <> 'error'"), ["user_id"], ["ts", "event_id"])
+    changes = events.where("event_type IN ('view', 'error')").withColumn("Op", F.expr(EVENT_CHANGES))
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    deliveries = [stored.withColumn("Op", F.lit("I")), changes.where(F.col("ts") >= middle),
+                  changes.where(F.col("ts") < middle)]
+    for number, rows in enumerate(deliveries):
+        feed_files(rows.select(changes.columns), landing, f"2024-{number}-")
+        arriving = read_new_files(spark, landing, changes.schema)
+        stream_latest(arriving, table, ["ts", "event_id"], f"{root}/checkpoint").awaitTermination()
+    return table.snapshot()
+
+
 # Mapped loads
 
 SUPPLIER_MAPPING = {

@@ -1,12 +1,15 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from predia.operators.changes import apply_changes, hard_delete, settle_changes, stamp, strip_envelope, upsert
 from predia.operators.cleaning import clean_strings, fill_zero, require
 from predia.operators.enrich import left_fan_out, lookup, observe_count, pivot_attributes, union_branches
-from predia.operators.json_flatten import autoflatten, flatten_json, infer_json_schema
+from predia.operators.json_flatten import (
+    WideSchemaError, autoflatten, explode_keys, flatten_json, infer_json_schema,
+)
 from predia.operators.latest import newest_rows, one_per_key
 from predia.operators.schema import (
     add_surrogate_key, apply_mapping, complete_columns, conform, dates_as_text, rename_by_text,
@@ -250,3 +253,25 @@ def test_given_schema_partition_column_and_root_array(spark, rows):
     docs = spark.createDataFrame([("p", '[{"x": 1}, {"x": 2}]')], "part string, j string")
     assert rows(flatten_json(docs, "j", "ARRAY<STRUCT<x: INT>>", partition_column="part")) == [(1,), (2,)]
     assert autoflatten(spark.range(1)).columns == ["id"]
+
+
+def test_json_keys_become_rows(spark, rows):
+    data = [(1, '{"u1": {"a": {"n": 1}, "b": {"n": "x"}}, "u2": [{"n": 2.5}, {"m": 0}]}'), (2, "{}"), (3, None),
+            (4, "no json"), (5, '{"u": null}'), (6, '{"deep": {"k": {"n": {"o": 7}}}}')]
+    df = spark.createDataFrame(data, "id int, j string")
+    found = explode_keys(df, "j", ["user", "item"], fields={"n": "$.n double", "o": "$.n.o int", "t": "$.n string"})
+    assert found.columns == ["id", "user", "item", "n", "o", "t"]
+    assert rows(found) == sorted([
+        (1, "u1", "a", 1.0, None, "1"), (1, "u1", "b", None, None, "x"), (1, "u2", "0", 2.5, None, "2.5"),
+        (1, "u2", "1", None, None, None), (2, None, None, None, None, None), (3, None, None, None, None, None),
+        (4, None, None, None, None, None), (5, "u", None, None, None, None),
+        (6, "deep", "k", None, 7, '{"o":7}')], key=repr)
+    kept = explode_keys(df.where("id = 6"), "j", ["user"], "rest").selectExpr("id", "user", "to_json(rest) AS rest")
+    assert rows(kept) == [(6, "deep", '{"k":{"n":{"o":7}}}')]
+
+
+def test_a_schema_whose_keys_are_data_is_an_error(spark):
+    wide = spark.range(300).selectExpr("concat('{\"user', id, '\": 1}') AS j")
+    with pytest.raises(WideSchemaError, match="explode_keys"):
+        infer_json_schema(wide, "j", widest=2000)
+    assert len(infer_json_schema(wide, "j")) == 300

@@ -22,6 +22,7 @@ from predia.sources.readers import UnknownFormatError, query_view, read_table
 from predia.sources.split_csv import BrokenFileError, numbered_lines
 from predia.streaming import change_stream
 from predia.streaming.change_stream import read_new_files, stream_changes
+from predia.streaming.latest_state import stream_latest
 from predia.workload import QUERIES
 from predia.workload.storage_queries import feed_files
 
@@ -583,6 +584,35 @@ def test_a_batch_takes_a_bounded_number_of_files(spark, path, rows, monkeypatch)
     assert table.last_commit().endswith(f"{2:012d}")
 
 
+def test_state_drops_late_changes_and_passes_on_what_moved(spark, path, rows):
+    table = KeyedTable(spark, f"{path}/t", "id")
+    seen = []
+    merge = table.merge
+    table.merge = lambda written, gone, commit: (
+        seen.append((rows(written, "id"), rows(gone, "id"))), merge(written, gone, commit))
+
+    def run(*deliveries):
+        for name, data in deliveries:
+            feed_files(spark.createDataFrame(data, FEED).coalesce(1), f"{path}/landing", name)
+        arriving = read_new_files(spark, f"{path}/landing", FEED)
+        stream_latest(arriving, table, ["t"], f"{path}/checkpoint", partitions=2).awaitTermination()
+        return rows(table.snapshot(), "id", "v", "t")
+
+    assert run(("2024-1-", [(1, "a", 5, "I"), (2, "b", 5, "I"), (3, "c", 5, "I")])) == [(1, "a", 5), (2, "b", 5), (3, "c", 5)]
+    commit = table.last_commit()
+    assert run(("2024-2-", [(1, "late", 3, "U"), (2, "", 6, "D"), (4, "n", 1, "I"), (3, "", 4, "D")])) == [
+        (1, "a", 5), (3, "c", 5), (4, "n", 1)]
+    assert seen == [([(4,)], [(2,)])], "late changes of 1 and 3 are not passed on"
+    assert run(("2024-3-", [(2, "back", 5, "U"), (4, None, 2, None)])) == [(1, "a", 5), (3, "c", 5), (4, "n", 1)]
+    assert run(("2024-4-", [(2, "back", 7, "U"), (1, "w", 5, "U"), (1, "z", 5, "D")])) == [
+        (2, "back", 7), (3, "c", 5), (4, "n", 1)]
+    assert table.last_commit().split("-")[0] == commit.split("-")[0]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    with pytest.raises(Exception, match="unknown operation"):
+        run(("2024-5-", [(9, "x", 9, "X")]))
+    assert rows(table.snapshot(), "id") == [(2,), (3,), (4,)]
+
+
 def test_json_changes_are_unwrapped(spark, path, rows):
     job, source = csv_job(spark, path, "json")
     files.write_text(spark, f"{source}/LOAD1.json",
