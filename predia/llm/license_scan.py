@@ -12,6 +12,9 @@ template's different words. The join finds every such block and no other:
 * Positional: the first shared word's places in both orders bound what can still be shared.
 * What remains is counted in full.
 
+Notices of sibling licenses share nearly all words: a version, "Lesser" or "NonCommercial" is one word of many. So a
+block that reaches the threshold gets the label only if it also has the phrases that tell it from its siblings.
+
 Templates are an argument of a few kilobytes and go to every task; texts are not shuffled and nothing is collected but
 one count per template word.
 
@@ -23,8 +26,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,26 +43,61 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-# Public notices, as their licenses word them, and the label of each.
+GPL_TEXT = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General "
+            "Public License as published by the Free Software Foundation, either version {} of the License, or (at your "
+            "option) any later version.")
+CC_NAMES = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial",
+            "by-nd": "Attribution-NoDerivatives", "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+            "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+REDISTRIBUTION = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+                  "provided that the following conditions are met")
+
+# Notices of public licenses in the forms that people put into their texts, and the label of each.
 NOTICES = (
-    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-     "later version.", "gpl-3.0"),
+    (GPL_TEXT.format("", "2"), "gpl-2.0"),
+    (GPL_TEXT.format("", "3"), "gpl-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
     ("This work is licensed under the GNU General Public License, version 3.", "gpl-3.0"),
+    (GPL_TEXT.format("Lesser ", "2.1"), "lgpl-2.1"),
+    (GPL_TEXT.format("Lesser ", "3"), "lgpl-3.0"),
+    (GPL_TEXT.format("Affero ", "3"), "agpl-3.0"),
     ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
      "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
     ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+    ("This software is licensed under the Apache Software License, Version 1.1.", "apache-1.1"),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
      "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
      "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "mit"),
     ("Released under the MIT License.", "mit"),
-    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by-4.0"),
-    ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"),
-    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-     "following conditions are met", "bsd"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    (REDISTRIBUTION, "bsd"),
+    (f"{REDISTRIBUTION}: Neither the name of the copyright holder nor the names of its contributors may be used to "
+     "endorse or promote products derived from this software", "bsd-3-clause"),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    *((f"Licensed under CC {kind.upper()} 4.0.", f"cc-{kind}-4.0") for kind in CC_NAMES),
+    *((f"This work is licensed under a Creative Commons {name} 4.0 International License.", f"cc-{kind}-4.0")
+      for kind, name in CC_NAMES.items()),
 )
 
+# What tells a label from its siblings, whose notices share nearly all words: phrases of which a block must have one of
+# each group. Fixed values.
+MARKS = {
+    "gpl-2.0": (("gnu general public license",), ("version 2",)),
+    "gpl-3.0": (("gnu general public license",), ("version 3",)),
+    "lgpl-2.1": (("gnu lesser general public license",), ("version 2 1",)),
+    "lgpl-3.0": (("gnu lesser general public license",), ("version 3",)),
+    "agpl-3.0": (("gnu affero general public license",), ("version 3",)),
+    "apache-2.0": (("apache license version 2 0",),),
+    "apache-1.1": (("apache software license version 1 1", "apache license version 1 1"),),
+    "mit": (("mit license", "permission is hereby granted free of charge"),),
+    "isc": (("permission to use copy modify and or distribute",),),
+    "bsd-3-clause": (("neither the name",),),
+    "mpl-2.0": (("mozilla public license",),),
+    **{f"cc-{kind}-4.0": ((f"cc {kind.replace('-', ' ')} 4 0",
+                           f"creative commons {name.lower().replace('-', ' ')} 4 0"),) for kind, name in CC_NAMES.items()},
+}
+
 RESULT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, n_blocks long, blocks array<struct<label:string,start:long,words:long,containment:double>>")
 
@@ -69,6 +107,7 @@ class Settings:
     threshold: float = 0.85
     phrases: tuple[tuple[str, str], ...] = PHRASES
     notices: tuple[tuple[str, str], ...] = NOTICES
+    marks: Mapping[str, tuple[tuple[str, ...], ...]] = field(default_factory=lambda: MARKS)
     shortest_block: int = 16
 
 
@@ -92,6 +131,12 @@ class Notice:
     size: int
     need: int
     tokens: tuple[bytes, ...]
+    marks: tuple[tuple[bytes, ...], ...]
+
+    def marked(self, words: list[bytes]) -> bool:
+        """Whether a block has one phrase of every group."""
+        line = b" " + b" ".join(words) + b" "
+        return all(any(phrase in line for phrase in group) for group in self.marks)
 
 
 class NoticeIndex:
@@ -109,7 +154,8 @@ class NoticeIndex:
             tokens = sorted(set(words), key=order.__getitem__)
             size, need = block_words(len(words), settings), least_shared(len(tokens), settings.threshold)
             number = len(self.notices)
-            self.notices.append(Notice(label, size, need, tuple(tokens)))
+            marks = tuple(tuple(b" " + p.encode() + b" " for p in group) for group in settings.marks.get(label, ()))
+            self.notices.append(Notice(label, size, need, tuple(tokens), marks))
             by_size[size].update(tokens)
             for word in tokens[:len(tokens) - need + 1]:
                 self.prefixes[word].append(number)
@@ -135,7 +181,7 @@ class NoticeIndex:
                         found = self.by_size[notice.size].intersection(words[start:start + notice.size])
                         tokens = blocks[notice.size, start] = sorted(found, key=self.order.__getitem__)
                     shared = shared_words(notice.tokens, tokens, notice.need)
-                    if shared:
+                    if shared and notice.marked(words[start:start + notice.size]):
                         yield (notice.label, start, len(words[start:start + notice.size]), shared / len(notice.tokens))
 
 

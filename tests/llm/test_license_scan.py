@@ -16,7 +16,9 @@ def brute(text, settings):
         for start in range(0, len(words), size // 2):
             block = words[start:start + size]
             share = len(set(tokens) & set(block)) / len(set(tokens))
-            if share >= settings.threshold - 1e-12:
+            line = " " + " ".join(w.decode() for w in block) + " "
+            marked = all(any(f" {p} " in line for p in group) for group in settings.marks.get(label, ()))
+            if share >= settings.threshold - 1e-12 and marked:
                 blocks.add((label, start, len(block), share))
     return words, places, sorted(blocks)
 
@@ -47,11 +49,34 @@ def test_against_all_blocks(documents):
 
 
 def test_notice_in_several_lines_is_found(documents):
-    notice = X.NOTICES[4][0].replace(" ", "\n")
+    notice = next(n for n, label in X.NOTICES if label == "mit").replace(" ", "\n")
     r = X.scan(documents((1, "intro words here\n" + notice + "\nmore words"))).collect()[0]
     assert (r["base_labels"], r["labels"]) == ("", "mit") and r["score"] == 1.0
 
 
+def test_siblings_are_told_apart(documents):
+    gpl = next(n for n, label in X.NOTICES if label == "gpl-2.0")
+    texts = {
+        "gpl-2.0": gpl, "lgpl-2.1": gpl.replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1"),
+        "cc-by-4.0": "Licensed under CC BY 4.0.", "cc-by-nc-4.0": "This work is licensed under a Creative Commons "
+        "Attribution NonCommercial 4.0 International License.", "": "Licensed under the Apache License, Version 1.0.",
+        "gpl-3.0": gpl.replace("version 2", "version 3"), "agpl-3.0": gpl.replace("GNU", "GNU Affero").replace("2", "3"),
+    }
+    base = {"gpl", "apache", "cc-by", "mit"}
+    for i, before in enumerate(("", "some words that say nothing of it " * 5)):
+        docs = documents(*((n, before + text + " and more words") for n, text in enumerate(texts.values())))
+        got = {r["doc_id"]: r["labels"] for r in X.scan(docs).collect()}
+        for n, label in enumerate(texts):
+            assert set(got[n].split(",")) - base - {""} == ({label} if label else set()), (label, got[n])
+
+
+def test_every_notice_gets_its_own_label_alone(documents):
+    notices = [(n, text) for n, (text, _) in enumerate(X.NOTICES)]
+    got = {r["doc_id"]: {b["label"] for b in r["blocks"]} for r in X.scan(documents(*notices)).collect()}
+    for n, (_, label) in enumerate(X.NOTICES):
+        assert got[n] == ({"bsd", label} if label == "bsd-3-clause" else {label})
+
+
 def test_edges(documents):
     docs = documents((1, "plain"), (1, "plain"), (None, "apache license"))
     rows = X.scan(docs).collect()
