@@ -1,17 +1,20 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Every rule has a measure in whole thousandths, greater is worse, and rejects a text whose measure exceeds a cutoff. The
-cutoffs are chosen per stratum (language) on labelled texts that pass the base rules, so that with probability
-``1 - delta``, over all rules and strata at once, each rule rejects at most its share of ``risk`` of the good texts of
-that stratum, hence all rules together at most ``risk``:
-
-* The texts are counted per measure value, so one cutoff is one running sum. Cutoffs are tried from lenient to strict
-  and the first that fails ends the search, which needs no further correction within a rule; ``delta`` is divided by
-  the number of rules times strata (Bonferroni).
-* A cutoff passes if a binomial variable with the rule's risk is at most as large as the number of good texts it
-  rejects with probability ``delta`` at most: the exact (Clopper-Pearson) bound.
+Every rule has a measure in whole thousandths, greater is worse, and a unit, the measure at which a text counts as bad by
+that rule. The severity of a text is its greatest measure in hundredths of the rule's unit. A cutoff on the severity is
+chosen per stratum (language) on labelled texts that pass the base rules, so that with probability ``1 - delta``, over all
+strata at once, all rules together reject at most ``risk`` of the good texts of that stratum:
+
+* What a cutoff rejects grows from lenient to strict, whatever the rule, so the cutoffs are one sequence that is fixed
+  before any label is seen. They are tried in that order and the first that fails ends the search, which needs no
+  correction within a stratum, and the whole risk goes where texts are worst.
+* A cutoff passes if a binomial variable with that risk is at most as large as the number of good texts it rejects with
+  probability ``delta / k`` at most: the exact (Clopper-Pearson) bound. ``k`` corrects for the strata: it is the least
+  number such that at most ``k`` strata have good texts enough to pass at ``delta / k`` at all (Tarone). How many texts
+  a stratum has says nothing about what is rejected.
 * Of the passing cutoffs the one that rejects most texts of label 0 is used, the most lenient of equals; one that
   rejects none is not used.
+* Texts that are equal but for white space are one trial, with the greatest severity among them.
 
 Words are runs of characters other than ASCII white space. Words in repeated windows are found by 64-bit hashes of the
 three words.
@@ -42,13 +45,13 @@ class Settings:
     most_repeated: int = 50
 
 
-# Name of a rule, and what is counted against which whole; the measure is the share in thousandths.
+# Name of a rule, what is counted against which whole, and the unit; the measure is the share in thousandths.
 RULES = {
-    "symbols": ("n_symbols", "word_chars"),
-    "repeated_words": ("n_repeat_words", "n_words"),
-    "repeated_lines": ("n_dup_lines", "n_lines"),
-    "capitals": ("n_capitals", "word_chars"),
-    "exclamations": ("n_exclamations", "word_chars"),
+    "symbols": ("n_symbols", "word_chars", 100),
+    "repeated_words": ("n_repeat_words", "n_words", 400),
+    "repeated_lines": ("n_dup_lines", "n_lines", 500),
+    "capitals": ("n_capitals", "word_chars", 300),
+    "exclamations": ("n_exclamations", "word_chars", 50),
 }
 
 
@@ -85,7 +88,8 @@ def measures(docs: DataFrame, column: str = "measures") -> DataFrame:
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),
         removed(text, CAPITALS).alias("n_capitals"),
-        removed(text, "!").alias("n_exclamations"))
+        removed(text, "!").alias("n_exclamations"),
+        F.unhex(F.md5(F.translate(text, WHITE_SPACE, ""))).alias("same"))
     return df.withColumn(column, counts).drop(*names)
 
 
@@ -95,10 +99,15 @@ def base_failed(m, settings: Settings) -> F.Column:
 
 
 def measure(m, rule: str) -> F.Column:
-    part, whole = RULES[rule]
+    part, whole, _ = RULES[rule]
     return F.floor(1000 * m[part] / F.greatest(m[whole], F.lit(1))).cast("int")
 
 
+def severity(m, rule: str) -> F.Column:
+    """The measure in hundredths of the rule's unit."""
+    return F.floor(100 * measure(m, rule) / RULES[rule][2]).cast("int")
+
+
 def allowed_rejections(good, risk: float, level) -> F.Column:
     """The most of ``good`` texts a cutoff may reject: the largest k with P(Binomial(good, risk) <= k) <= level.
 
@@ -120,37 +129,47 @@ def allowed_rejections(good, risk: float, level) -> F.Column:
                        lambda state: state["most"])
 
 
+def strata_to_correct_for(good: DataFrame, settings: Settings) -> DataFrame:
+    """The least k such that at most k strata could pass at ``delta / k``, of the counts ``good`` of all strata.
+
+    A stratum of n good texts could pass up to the k with (1 - risk) ** n <= delta / k. In falling order of these, the
+    last place that its stratum's own k reaches is k, or one less where others reach that k too.
+    """
+    could = F.floor(F.exp(F.log(F.lit(settings.delta)) - F.col("good") * F.log1p(F.lit(-settings.risk))))
+    row = good.select(F.least(could, F.lit(1 << 40)).cast("long").alias("c")).agg(
+        F.reverse(F.array_sort(F.collect_list("c"))).alias("c"))
+    place = F.size(F.filter("c", lambda c, i: c >= i + 1))
+    row = row.select("c", place.alias("place"))
+    place, reach = F.col("place"), F.size(F.filter("c", lambda c: c >= F.col("place")))
+    return row.select(F.greatest(F.lit(1), F.when(reach > place, place + 1).otherwise(place)).alias("k"))
+
+
 def cutoffs(rows: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per stratum that has cutoffs: stratum, cutoffs (rule to the largest measure that stays).
+    """One row per stratum that has a cutoff: stratum, cutoff (the greatest severity that stays).
 
-    ``rows`` has doc_id, stratum and measures. Counting per measure value leaves at most 1,001 rows, or as many as
-    there are values, for each rule and stratum.
+    ``rows`` has doc_id, stratum and measures. Of a stratum there are as many counts as there are severities.
     """
     usable = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label")).distinct()
     m = F.col("measures")
-    tested = rows.where(~base_failed(m, settings)).join(usable, "doc_id").select(
-        "stratum", "label", F.explode(F.create_map(
-            *[x for rule in RULES for x in (F.lit(rule), measure(m, rule))])).alias("rule", "value"))
-    counts = settle(tested.groupBy("stratum", "rule", "value").agg(
+    trials = rows.where(~base_failed(m, settings)).join(usable, "doc_id").groupBy("stratum", "label", m["same"]).agg(
+        F.max(F.greatest(*[severity(m, rule) for rule in RULES])).alias("severity"))
+    counts = settle(trials.groupBy("stratum", "severity").agg(
         F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")), "quality-counts")
-    strata = counts.select("stratum").distinct().count()
-    level = settings.delta / max(1, len(RULES) * strata)
-    risk = settings.risk / len(RULES)
-    totals = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("all_good"))
-    allowed = totals.select("stratum", "rule", allowed_rejections(F.col("all_good"), risk, F.lit(level)).alias("most"))
-    # Rejected by the cutoff value - 1: everything from this value up.
-    up = Window.partitionBy("stratum", "rule").orderBy(F.desc("value"))
+    totals = counts.groupBy("stratum").agg(F.sum("good").alias("good"))
+    level = settings.delta / strata_to_correct_for(totals, settings).first()["k"]
+    allowed = totals.select("stratum", allowed_rejections(F.col("good"), settings.risk, F.lit(level)).alias("most"))
+    # Rejected by the cutoff severity - 1: everything from this severity up.
+    up = Window.partitionBy("stratum").orderBy(F.desc("severity"))
     reached = (counts.withColumn("rejected_good", F.sum("good").over(up))
-               .join(allowed, ["stratum", "rule"]).where("rejected_good <= most and bad > 0"))
-    return (reached.groupBy("stratum", "rule").agg((F.min("value") - 1).alias("cutoff"))
-            .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
+               .join(allowed, "stratum").where("rejected_good <= most and bad > 0"))
+    return reached.groupBy("stratum").agg((F.min("severity") - 1).alias("cutoff"))
 
 
 def judged(rows: DataFrame, chosen: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """All columns and base_failed, rejected_by (names of the rules that reject, sorted)."""
     m = F.col("measures")
     failed = F.array_compact(F.array(*[
-        F.when(measure(m, rule) > F.try_element_at("cutoffs", F.lit(rule)), F.lit(rule)) for rule in sorted(RULES)]))
+        F.when(severity(m, rule) > F.col("cutoff"), F.lit(rule)) for rule in sorted(RULES)]))
     return rows.join(chosen, "stratum", "left").select(
         *rows.columns, base_failed(m, settings).alias("base_failed"),
         F.coalesce(F.array_join(failed, ","), F.lit("")).alias("rejected_by"))

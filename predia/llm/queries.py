@@ -97,7 +97,7 @@ repeated AS (
 covered AS (
   SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM repeated, (VALUES (0), (1), (2)) AS s(k) GROUP BY doc_id),
 m AS (
-  SELECT doc_id, stratum, len(w)::BIGINT AS n_words,
+  SELECT doc_id, stratum, t, len(w)::BIGINT AS n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
@@ -107,35 +107,40 @@ m AS (
   FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN lined USING (doc_id)),
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [
-    {'rule': 'symbols', 'value': 1000 * n_symbols // greatest(word_chars, 1)},
-    {'rule': 'repeated_words', 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
-    {'rule': 'repeated_lines', 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
-    {'rule': 'capitals', 'value': 1000 * n_capitals // greatest(word_chars, 1)},
-    {'rule': 'exclamations', 'value': 1000 * n_exclamations // greatest(word_chars, 1)}] AS rules FROM m),
+    {'rule': 'symbols', 'value': 100 * (1000 * n_symbols // greatest(word_chars, 1)) // 100},
+    {'rule': 'repeated_words', 'value': 100 * (1000 * n_repeat_words // greatest(n_words, 1)) // 400},
+    {'rule': 'repeated_lines', 'value': 100 * (1000 * n_dup_lines // greatest(n_lines, 1)) // 500},
+    {'rule': 'capitals', 'value': 100 * (1000 * n_capitals // greatest(word_chars, 1)) // 300},
+    {'rule': 'exclamations', 'value': 100 * (1000 * n_exclamations // greatest(word_chars, 1)) // 50}] AS rules FROM m),
+trials AS (
+  SELECT stratum, quality, md5(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS same,
+    max(list_max(list_transform(rules, lambda r: r.value))) AS severity
+  FROM judged JOIN (SELECT DISTINCT doc_id, quality FROM labels WHERE quality IN (0, 1)) USING (doc_id)
+  WHERE NOT base_failed GROUP BY ALL),
 tested AS (
-  SELECT stratum, r.rule AS rule, r.value AS value, sum(quality) AS good, sum(1 - quality) AS bad FROM (
-    SELECT stratum, quality, unnest(rules) AS r FROM judged
-    JOIN (SELECT DISTINCT doc_id, quality FROM labels WHERE quality IN (0, 1)) USING (doc_id) WHERE NOT base_failed)
-  GROUP BY ALL),
-size AS (SELECT stratum, rule, sum(good) AS n FROM tested GROUP BY ALL),
-level AS (SELECT 0.05 / greatest(1, 5 * (SELECT count(DISTINCT stratum) FROM tested)) AS level),
+  SELECT stratum, severity, sum(quality) AS good, sum(1 - quality) AS bad FROM trials GROUP BY ALL),
+size AS (
+  SELECT stratum, n, floor(least(exp(ln(0.05) - n * ln(1 - 0.02)), pow(2, 40))) AS could
+  FROM (SELECT stratum, sum(good) AS n FROM tested GROUP BY ALL)),
+level AS (
+  SELECT 0.05 / (SELECT min(k) FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM size))) AS k)
+                 WHERE (SELECT count(*) FROM size WHERE could >= k) <= k) AS level),
 terms AS (
-  SELECT stratum, rule, n, unnest(range(0, floor(n * 0.004)::BIGINT + 1)) AS k FROM size),
+  SELECT stratum, n, unnest(range(0, floor(n * 0.02)::BIGINT + 1)) AS k FROM size),
 cdf AS (
-  SELECT stratum, rule, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
-                                   + k * ln(0.004) + (n - k) * ln(1 - 0.004)))
-    OVER (PARTITION BY stratum, rule ORDER BY k) AS p FROM terms),
-allowed AS (SELECT stratum, rule, max(k) AS most FROM cdf, level WHERE p <= level GROUP BY ALL),
+  SELECT stratum, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.02) + (n - k) * ln(1 - 0.02)))
+    OVER (PARTITION BY stratum ORDER BY k) AS p FROM terms),
+allowed AS (SELECT stratum, max(k) AS most FROM cdf, level WHERE p <= level GROUP BY ALL),
 reached AS (
-  SELECT stratum, rule, value, bad, sum(good) OVER (PARTITION BY stratum, rule ORDER BY value DESC) AS rejected_good
+  SELECT stratum, severity, bad, sum(good) OVER (PARTITION BY stratum ORDER BY severity DESC) AS rejected_good
   FROM tested),
 cutoff AS (
-  SELECT stratum, rule, min(value) - 1 AS cutoff FROM reached JOIN allowed USING (stratum, rule)
+  SELECT stratum, min(severity) - 1 AS cutoff FROM reached JOIN allowed USING (stratum)
   WHERE rejected_good <= most AND bad > 0 GROUP BY ALL),
 rejected AS (
   SELECT doc_id, string_agg(r.rule, ',' ORDER BY r.rule) AS rejected_by
   FROM (SELECT doc_id, stratum, unnest(rules) AS r FROM judged) AS j
-  JOIN cutoff ON cutoff.stratum = j.stratum AND cutoff.rule = j.r.rule AND j.r.value > cutoff.cutoff GROUP BY doc_id)
+  JOIN cutoff ON cutoff.stratum = j.stratum AND j.r.value > cutoff.cutoff GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rejected_by IS NULL AS kept, coalesce(rejected_by, '') AS rejected_by
 FROM judged LEFT JOIN rejected USING (doc_id)

@@ -57,17 +57,45 @@ def test_cutoffs_keep_their_promise(documents, labelled):
     for i in range(2200):
         bad = i % 11 == 0
         text = plain(rng) + (" " + "%%% " * rng.randrange(20, 40) if bad else " #" * (i % 50 == 1))
-        rows.append((i, text, "en" if i % 20 else "rare"))
+        rows.append((i, text, "en" if i % 40 else "rare"))
         labels.append((i, 0 if bad else 1, 0))
     settings = X.Settings(risk=0.05)
     got = {r["doc_id"]: r for r in X.quality_rules(documents(*rows), labelled(*labels), settings).collect()}
-    good = [r for i, r in got.items() if i % 11 and i % 20 and not r["base_failed"]]
-    bad = [r for i, r in got.items() if not i % 11 and i % 20 and not r["base_failed"]]
+    good = [r for i, r in got.items() if i % 11 and i % 40 and not r["base_failed"]]
+    bad = [r for i, r in got.items() if not i % 11 and i % 40 and not r["base_failed"]]
     assert sum(not r["kept"] for r in good) <= 0.05 * len(good)
     assert sum(not r["kept"] for r in bad) > 0.9 * len(bad)
     assert all("symbols" in r["rejected_by"] for r in bad if not r["kept"])
     # Too few labels in the other language for any cutoff.
-    assert all(r["rejected_by"] == "" for i, r in got.items() if not i % 20)
+    assert all(r["rejected_by"] == "" for i, r in got.items() if not i % 40)
+
+
+def test_copies_are_one_trial_and_every_language_gets_a_cutoff(documents, labelled):
+    """220 good texts of each of four languages are enough; a good text with symbols counts once, however often it stands."""
+    rng = random.Random(11)
+    rows, labels, odd = [], [], plain(rng) + " #" * 40
+    for lang in ("de", "en", "es", "fr"):
+        for i in range(260):
+            bad = i >= 225
+            text = plain(rng) + " %%%%" * (30 if bad else 0)
+            rows.append((len(rows), text, lang))
+            labels.append((len(labels), 0 if bad else 1, 0))
+    for spaces in range(40):
+        rows.append((len(rows), odd + " " * spaces, "en"))
+        labels.append((len(labels), 1, 0))
+    got = {r["doc_id"]: r for r in X.quality_rules(documents(*rows), labelled(*labels)).collect()}
+    for at, (i, _, lang) in enumerate(rows):
+        bad = labels[at][1] == 0
+        assert got[i]["kept"] == (not bad), (lang, got[i])
+
+
+def test_strata_to_correct_for(spark):
+    def least(sizes, delta, risk):
+        return next(k for k in range(1, len(sizes) + 2) if sum((1 - risk) ** n <= delta / k for n in sizes) <= k)
+
+    for sizes in ([], [10], [197, 40, 30, 40], [150, 200, 260, 300], [1000] * 7, [149] * 3, [230, 230, 20], [200] * 4):
+        df = spark.createDataFrame([(n,) for n in sizes], "good long")
+        assert X.strata_to_correct_for(df, X.Settings()).first()["k"] == least(sizes, 0.05, 0.02), sizes
 
 
 def test_base_rules_hold_without_labels(documents, labelled):
