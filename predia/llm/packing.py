@@ -146,11 +146,7 @@ def laid_out(table: pa.Table, settings: Settings) -> pa.Table:
     table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "row")]).combine_chunks()
     length, lists = table["length"].to_numpy(), table["ids"].combine_chunks()
     flat, first = lists.flatten().to_numpy(), np.cumsum(length) - length
-    full = length == settings.capacity
-    slots = np.array(windows(length[~full].tolist(), settings.capacity), np.int64)
-    window = np.empty(len(length), np.int64)
-    window[~full] = slots
-    window[full] = (int(slots.max()) + 1 if len(slots) else 0) + np.arange(int(full.sum()))
+    window = np.array(windows(length.tolist(), settings.capacity), np.int64)
     order = np.argsort(window, kind="stable")
     window, length, first = window[order], length[order], first[order]
     begins = np.flatnonzero(np.diff(window, prepend=-1))
@@ -160,8 +156,11 @@ def laid_out(table: pa.Table, settings: Settings) -> pa.Table:
     # Every id goes from its place in its piece to its place in its window.
     number = np.cumsum(np.diff(window, prepend=-1) > 0) - 1
     within = np.arange(int(length.sum())) - np.repeat(before, length)
-    ids = np.full(len(begins) * settings.capacity, settings.pad_id, np.int32)
-    ids[np.repeat(number * settings.capacity + offset, length) + within] = flat[np.repeat(first, length) + within]
+    filled_to = np.add.reduceat(length, begins)
+    width = np.where(filled_to & (filled_to - 1), settings.capacity, filled_to)
+    ends = np.cumsum(width)
+    ids = np.full(int(width.sum()), settings.pad_id, np.int32)
+    ids[np.repeat((ends - width)[number] + offset, length) + within] = flat[np.repeat(first, length) + within]
 
     places = table.select(["doc_id", "start", "length", "doc_tokens"]).take(pa.array(order))
     parts = pa.StructArray.from_arrays([*(places[c].combine_chunks() for c in places.column_names), pa.array(offset)],
@@ -169,25 +168,31 @@ def laid_out(table: pa.Table, settings: Settings) -> pa.Table:
     shard = table["shard"][0].as_py()
     return pa.table({
         "sequence_id": pa.array((shard << 32) + window[begins]),
-        "n_ids": pa.array(np.add.reduceat(length, begins)),
-        "ids": pa.ListArray.from_arrays(np.arange(len(begins) + 1, dtype=np.int32) * settings.capacity, ids),
+        "n_ids": pa.array(filled_to),
+        "ids": pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), ids),
         "pieces": pa.ListArray.from_arrays(np.append(begins, len(window)).astype(np.int32), parts)})
 
 
 def sequences(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per window: sequence_id, n_ids, ids (``capacity`` of them, closed by padding), pieces.
+    """One row per window: sequence_id, n_ids, ids, pieces.
 
-    ``pieces`` names in their order the parts of documents that the ids are: doc_id, start, length, doc_tokens, offset.
+    ``ids`` are closed by padding up to ``capacity``, but not where their number is a power of two. ``pieces`` names in
+    their order the parts of documents that the ids are: doc_id, start, length, doc_tokens, offset. A piece that fills a
+    window is one where it lies; only the others are dealt to shards and packed.
     """
-    cut = settle(pieces(docs, settings), "pieces")
-    rest = F.when(F.col("length") < settings.capacity, F.col("length"))
-    counts = cut.agg(F.count("*").alias("pieces"), F.sum(rest).alias("rest")).first()
+    every = settle(pieces(docs, settings), "pieces")
+    whole = every.where(F.col("length") == settings.capacity).select(
+        (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.col("length").alias("n_ids"), "ids",
+        F.array(F.struct("doc_id", "start", "length", "doc_tokens", F.lit(0).cast("long").alias("offset"))).alias("pieces"))
+    cut = every.where(F.col("length") < settings.capacity)
+    counts = cut.agg(F.count("*").alias("pieces"), F.sum("length").alias("rest")).first()
     shards = max(1, math.ceil((counts["rest"] or 0) / (settings.capacity * settings.windows_per_shard)),
                  math.ceil(counts["pieces"] / settings.pieces_per_shard))
     rows = cut.withColumn("row", F.monotonically_increasing_id())
     shard = F.pmod(F.xxhash64("doc_id", "start", "row"), F.lit(shards))
-    return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(
+    packed = rows.withColumn("shard", shard).groupBy("shard").applyInArrow(
         lambda table: laid_out(table, settings), WINDOWS)
+    return whole.unionAll(packed)
 
 
 def listed(found: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def test_windows_hold_the_ids(documents, reference_ids):
     found = X.sequences(documents(*texts.items()), settings).collect()
     back = {i: {} for i in texts}
     for window in found:
-        assert len(window["ids"]) == settings.capacity
+        n = window["n_ids"]
+        assert len(window["ids"]) == (settings.capacity if n & (n - 1) else n)
         assert window["n_ids"] == sum(p["length"] for p in window["pieces"])
         assert set(window["ids"][window["n_ids"]:]) <= {7}
         for p in window["pieces"]:
@@ -105,3 +106,13 @@ def test_cuts():
     assert X.cuts(1, settings) == [(0, 1)]
     assert X.cuts(1024, settings) == [(0, 1024)]
     assert X.cuts(2600, settings) == [(0, 1024), (1024, 1024), (2048, 256), (2304, 256), (2560, 40)]
+
+
+def test_a_power_of_two_is_not_padded_and_full_windows_stand_alone(documents):
+    settings = X.Settings(pad_id=7)
+    docs = documents((1, " a" * 511), (2, " a" * 2047))
+    rows = sorted(X.sequences(docs, settings).collect(), key=lambda r: r["n_ids"])
+    assert [(r["n_ids"], len(r["ids"])) for r in rows] == [(512, 512), (1024, 1024), (1024, 1024)]
+    assert len({r["sequence_id"] for r in rows}) == 3 and all(r["sequence_id"] >= 0 for r in rows)
+    (odd,) = X.sequences(documents((1, " a" * 599)), settings).collect()
+    assert (odd["n_ids"], len(odd["ids"]), set(odd["ids"][600:])) == (600, 1024, {7})
