@@ -24,18 +24,6 @@ def lookup(
     return joined.withColumnsRenamed({f"_v{i}": name for i, name in enumerate(values)})
 
 
-def left_fan_out(df: DataFrame, many: DataFrame, key: str, many_key: str) -> DataFrame:
-    """Left join to a side with many rows per key, of which one key may hold a large share.
-
-    Spark can split a hot key only on the kept side of an outer join. The matches are therefore an inner join, where
-    it can split either side, and the rows without a match come from an anti join with the distinct keys.
-    """
-    matched = df.join(many, quoted(key) == quoted(many_key), "inner")
-    keys = many.select(quoted(many_key).alias("_key")).distinct()
-    unmatched = df.join(keys, quoted(key) == F.col("_key"), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def pivot_attributes(
     details: DataFrame, definitions: DataFrame, aliases: Sequence[str], entity: str, attribute: str, value: str,
     alias: str, order: str,

@@ -24,7 +24,8 @@ from predia.fixed_values import (
     PROPERTY_KIND, SUPPLY_DEMAND_MART,
 )
 from predia.operators.cleaning import quoted
-from predia.operators.enrich import left_fan_out, lookup
+from predia.operators.enrich import lookup
+from predia.operators.hot_keys import left_fan_out
 from predia.operators.latest import one_per_key
 
 OWNER = "id_publication_owner_app_identification_number"

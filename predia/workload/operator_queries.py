@@ -13,9 +13,8 @@ from predia.functions import (
 )
 from predia.operators.changes import apply_changes, hard_delete, stamp, strip_envelope, upsert
 from predia.operators.cleaning import clean_strings, fill_zero, require
-from predia.operators.enrich import (
-    left_fan_out, lookup, observe_count, pivot_attributes, select_constants, union_branches,
-)
+from predia.operators.enrich import lookup, observe_count, pivot_attributes, select_constants, union_branches
+from predia.operators.hot_keys import left_fan_out
 from predia.operators.json_flatten import explode_keys, flatten_json
 from predia.operators.latest import newest_rows, one_per_key
 from predia.operators.schema import (
@@ -340,6 +339,22 @@ def _(spark, folder):
     return left_fan_out(customers, orders, "c_custkey", "o_custkey").drop("o_custkey")
 
 
+@query("fan_out_hot_keys", """
+    SELECT l_linestatus, n_lines, o_orderkey, o_totalprice
+    FROM (SELECT l_linestatus, count(*) AS n_lines FROM lineitem GROUP BY ALL
+          UNION ALL SELECT o_orderpriority, count(*) FROM orders GROUP BY ALL)
+    LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON l_linestatus = o_orderstatus""")
+def _(spark, folder):
+    """Two keys hold all rows of the other side, and some keys hold none; hot is what fills a hundredth of it."""
+    orders = read(spark, folder, "orders")
+    groups = union_branches(
+        read(spark, folder, "lineitem").groupBy("l_linestatus").agg(F.count("*").alias("n_lines")),
+        orders.groupBy(F.col("o_orderpriority").alias("l_linestatus")).agg(F.count("*").alias("n_lines")))
+    placed = orders.where("o_orderstatus <> 'P'").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    rows = left_fan_out(groups, placed, "l_linestatus", "o_orderstatus", split_rows=max(1, orders.count() // 100))
+    return rows.drop("o_orderstatus")
+
+
 @query("chained_left", """
     SELECT event_id, c_name AS client, n_name AS place, r_name AS area FROM events
     LEFT JOIN customer ON user_id * 20 = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey

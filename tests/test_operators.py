@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from predia.operators.changes import apply_changes, hard_delete, settle_changes, stamp, strip_envelope, upsert
 from predia.operators.cleaning import clean_strings, fill_zero, require
-from predia.operators.enrich import left_fan_out, lookup, observe_count, pivot_attributes, union_branches
+from predia.operators.enrich import lookup, observe_count, pivot_attributes, union_branches
+from predia.operators.hot_keys import hot_keys, left_fan_out
 from predia.operators.json_flatten import (
     WideSchemaError, autoflatten, explode_keys, flatten_json, infer_json_schema,
 )
@@ -207,6 +208,32 @@ def test_left_fan_out_equals_a_left_join(spark, rows):
     assert rows(left_fan_out(left, many, "k", "m")) == rows(left.join(many, F.col("k") == F.col("m"), "left"))
 
 
+@pytest.mark.parametrize("split_rows", [1, 3, 50, 1000])
+def test_left_fan_out_deals_out_hot_keys(spark, rows, split_rows):
+    """Hot on one side, on both, on the kept side alone; rows that are equal; null keys; keys without rows."""
+    left = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, "b"), (2, "c"), (3, "d"), (4, "e"), (None, "n")] + [(5, "same")] * 40, "k long, v string")
+    many = spark.createDataFrame(
+        [(1, i, {"x": i}) for i in range(60)] + [(2, 7, None)] * 20 + [(3, 1, None), (None, 2, None), (None, 2, None)]
+        + [(9, i, None) for i in range(30)], "m long, n long, extra map<string,int>")
+    plain = left.join(many, F.col("k") == F.col("m"), "left")
+    got = left_fan_out(left, many, "k", "m", split_rows)
+    assert got.columns == plain.columns and got.schema == plain.schema
+    assert rows(got) == rows(plain)
+    assert len(hot_keys(many, "m", split_rows)) == {1: 3, 3: 3, 50: 1, 1000: 0}[split_rows]
+
+
+def test_hot_keys_of_other_types_are_joined_as_they_are(spark, rows):
+    left = spark.createDataFrame([(7, "a"), (8, "b")], "k int, v string")
+    many = spark.createDataFrame([("7", 1), ("07", 2), ("7", 3)], "m string, n int")
+    assert rows(left_fan_out(left, many, "k", "m", 1), "k", "n") == [(7, 1), (7, 2), (7, 3), (8, None)]
+    parts = spark.createDataFrame([(bytearray(b"x"),)] * 3, "m binary")
+    assert hot_keys(parts, "m", 1) == []
+    assert rows(left_fan_out(parts, parts.withColumnRenamed("m", "o"), "m", "o", 1).selectExpr("hex(o)")) == [("78",)] * 9
+    none = many.limit(0)
+    assert hot_keys(none, "m", 1) == [] and left_fan_out(left.withColumn("k", F.col("k").cast("string")), none, "k", "m").count() == 2
+
+
 def test_pivot_takes_the_first_detail_and_keeps_null_values(spark, rows):
     details = spark.createDataFrame(
         [(5, 1, 10, "late"), (4, 1, 10, "first"), (6, 1, 20, None), (7, 2, 30, "other"), (8, 3, 99, "lost")],

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from predia.operators.changes import apply_changes, settle_changes, without_late
-from predia.operators.enrich import left_fan_out, lookup, pivot_attributes
+from predia.operators.enrich import lookup, pivot_attributes
+from predia.operators.hot_keys import left_fan_out
 from predia.operators.latest import newest_rows, one_per_key
 from predia.session import INITIAL_PARTITIONS, RUNTIME_CONF, scratch_path, size_shuffles, tune
 from predia.sources.keyed_table import KeyedTable
@@ -106,14 +107,25 @@ def test_a_hot_key_is_split_in_a_lookup_also_before_a_grouping_by_that_key(spark
 
 
 def test_a_hot_key_is_split_on_the_many_side_of_a_fan_out(spark, settings):
-    settings(**SMALL_SKEW)
+    settings(**SMALL_SKEW, spark__sql__adaptive__coalescePartitions__enabled="false")
     stock = spark.range(1500).select(F.col("id").alias("s"))
-    rows = left_fan_out(stock, hot(spark), "s", "k")
+    rows = left_fan_out(stock, hot(spark), "s", "k", split_rows=5_000)
     got = {r.s: r.n for r in rows.groupBy("s").agg(F.count("v").alias("n")).collect()}
     expected = {r.k: r.n for r in hot(spark).groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert got == {s: expected.get(s, 0) for s in range(1500)}
-    rows.collect()
-    assert "skew=true" in plan_of(rows)
+    tasks = [r["count"] for r in rows.where("s = 7").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == expected[7] and len(tasks) > 4 and max(tasks) < sum(tasks) / 2
+
+
+def test_a_fan_out_reads_either_side_once(spark, settings):
+    settings(**SMALL_SKEW)
+    customers, orders = read(spark, FOLDER, "customer"), read(spark, FOLDER, "orders")
+    for split_rows in (10, 1_000_000):
+        plan = plan_of(left_fan_out(customers, orders, "c_custkey", "o_custkey", split_rows))
+        assert plan.count("FileScan parquet") == 2 and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+    # The sketch reads the key alone and sends counters, which are combined before they are sent.
+    keys = plan_of(orders.select("o_custkey").agg(F.expr("approx_top_k(o_custkey, 10, 1000)")))
+    assert "ReadSchema: struct<o_custkey:bigint>" in keys and "partial_approx_top_k" in keys
 
 
 def test_a_hot_key_is_split_among_ties(spark, settings):
