@@ -18,6 +18,7 @@ from predia.plans.mapped_load import run_configured_load, run_mapped_load
 from predia.plans.quarantine import quarantined
 from predia.session import scratch_path
 from predia.sources import files
+from predia.sources.bucketed_table import BucketedTable
 from predia.sources.config import JobConfig, TableConfig, discover_tables, load_table_config
 from predia.sources.incremental import IncrementalReader
 from predia.sources.keyed_table import COMMIT, KeyedTable
@@ -191,6 +192,33 @@ def _(spark, folder):
     return table.snapshot()
 
 
+def _bucketed_events(spark, folder, purpose):
+    events = read(spark, folder, "events")
+    table = BucketedTable(spark, f"predia_{purpose}", scratch_path(spark, purpose), "user_id", buckets=8)
+    table.load(event_base(events))
+    return table, events
+
+
+@query("bucketed_merge", CDC_SQL)
+def _(spark, folder):
+    """Changes merged into a bucketed catalog table, whose stored rows are not shuffled."""
+    table, events = _bucketed_events(spark, folder, "bucketed_merge")
+    table.merge(event_changes(events), ["ts", "event_id"])
+    return table.rows()
+
+
+@query("bucketed_merge_late", CDC_SQL)
+def _(spark, folder):
+    """Two merges, the second of changes that the first has already passed: those come too late."""
+    table, events = _bucketed_events(spark, folder, "bucketed_merge_late")
+    table.merge(event_changes(events), ["ts", "event_id"], guard_late=True)
+    deleted = event_changes(events).groupBy("user_id").agg(F.max_by("Op", F.struct("ts", "event_id")).alias("last"))
+    kept = table.rows().join(deleted.where("last = 'D'").select("user_id"), "user_id", "left_anti").select("user_id")
+    late = event_base(events).withColumns({"Op": F.lit("U"), "value": F.col("value") - 1, "ts": F.col("ts") - F.expr("INTERVAL 1 DAY")})
+    table.merge(late.join(kept, "user_id", "left_semi"), ["ts", "event_id"], guard_late=True)
+    return table.rows()
+
+
 @query("upsert_then_delete_stored", """
     SELECT * FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END
         AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders) WHERE o_orderpriority <> '5-LOW'""")
