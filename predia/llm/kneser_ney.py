@@ -23,6 +23,7 @@ held-out good texts takes the threshold of all languages together; without any,
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,10 +31,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from predia.llm.common import held_out, settle
+from predia.session import INITIAL_PARTITIONS
 
 ORDER = 5
 START = "\x02"
@@ -218,8 +220,9 @@ def batched(docs: DataFrame, labels: DataFrame, batches: int) -> tuple[DataFrame
 def scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, lang, n_chars, log_prob of every document."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batches = max(1, math.ceil(size / settings.batch_bytes))
+    # The shuffles grow with the data: twice as many partitions as batches, so few batches share a task.
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * batches)
     rows, good = batched(docs, labels, batches)
     rows = rows.repartition(partitions, "batch")
     asked = (rows.groupBy("batch").cogroup(good.groupBy("batch"))
@@ -232,7 +235,19 @@ def scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
                .select(F.shiftright("packed", 32).cast("int").alias("batch"), "gram", "log_p"))
     scored = (rows.groupBy("batch").cogroup(answers.groupBy("batch"))
               .applyInArrow(lambda a, b: summed(a, b, settings), SCORED))
-    return settle(scored, "perplexity")
+    with shuffles_of(docs.sparkSession, partitions):
+        return settle(scored, "perplexity")
+
+
+@contextlib.contextmanager
+def shuffles_of(spark: SparkSession, partitions: int):
+    """Shuffles without a number of their own start with so many partitions; afterwards the session is as it was."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, partitions)
+    try:
+        yield
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if before is None else spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
