@@ -16,7 +16,7 @@ from predia.operators.reconcile import reconcile
 from predia.plans.curated import bad_rows_folder, curate, curated_table, load_all, load_selected, load_table
 from predia.plans.mapped_load import run_configured_load, run_mapped_load
 from predia.plans.quarantine import quarantined
-from predia.session import scratch_path
+from predia.session import MEASURED_BROADCASTS, scratch_path
 from predia.sources import files
 from predia.sources.bucketed_table import BucketedTable
 from predia.sources.config import JobConfig, TableConfig, discover_tables, load_table_config
@@ -271,6 +271,9 @@ def _(spark, folder):
     table.upsert(later.withColumn("o_totalprice", F.col("o_totalprice") + 1), commit=SECOND)
     table.delete(later.where("o_orderpriority = '5-LOW'"), commit=THIRD)
     news = reader.read(deletes=True)
+    # The news come from compressed files: whether they are few enough to be broadcast, a shuffle tells.
+    for name, value in MEASURED_BROADCASTS.items():
+        spark.conf.set(name, value)
     kept = spark.read.parquet(f"{path}/first").join(news.select("o_orderkey"), "o_orderkey", "left_anti")
     # A deleted row is told as it stood last.
     price = F.when(F.col("_deleted"), F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice"))

@@ -149,3 +149,17 @@ def test_shuffles_start_with_the_size_of_what_is_read(spark, settings):
     rows = one_per_key(events, ["user_id"], ["ts"])
     assert "hashpartitioning(user_id" in plan_of(rows) and f", {wide})" in plan_of(rows)
     assert size_shuffles(events, file_bytes=1) > 200_000, "no cap: partitions keep their size"
+
+
+def test_a_merge_broadcasts_keys_by_their_measured_size_not_by_that_of_their_files(spark):
+    table = KeyedTable(spark, scratch_path(spark, "measured"), "id", buckets=4)
+    stored = spark.range(600_000).selectExpr("xxhash64(id) AS id", "1 AS t")
+    table.overwrite(stored)
+    plans, put = [], table._put
+    table._put = lambda df, *args, **kwargs: (plans.append(plan_of(df)), put(df, *args, **kwargs))
+    before = dict(spark.conf.getAll)
+    table.upsert(stored.withColumn("t", F.lit(2)))
+    assert "SortMergeJoin" in plans[0] and table.snapshot().where("t = 2").count() == 600_000
+    table.upsert(stored.limit(3).withColumn("t", F.lit(3)))
+    assert "LeftAnti, BuildRight" in plans[1] and "SortMergeJoin" not in plans[1], "few changes are broadcast"
+    assert dict(spark.conf.getAll) == before
