@@ -90,10 +90,10 @@ def _(spark, folder):
 @query("csv_line_breaks_split", """
     SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text, source FROM documents""")
 def _(spark, folder):
-    """Texts with line breaks from few files, read in many small splits."""
+    """Texts with line breaks, a file per part of the input, read in many small splits."""
     path = scratch_path(spark, "csv-split")
     rows = read(spark, folder, "documents").select("doc_id", "text", "source")
-    rows.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"').option(
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     return read_table(spark, path, "csv")

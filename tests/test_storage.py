@@ -731,3 +731,19 @@ def test_jobs_run_together_and_all_failures_are_raised(spark):
     with pytest.raises(ExceptionGroup) as failed:
         run_together(spark, {1: lambda: fail("a"), 2: lambda: 2, 3: lambda: fail("c")}, 1)
     assert [str(e) for e in failed.value.exceptions] == ["a", "c"]
+
+
+def test_csv_of_a_large_table_is_written_by_many_tasks(spark, path, rows):
+    texts = spark.range(40).selectExpr("id AS doc_id", "concat('a \"', id, '\",\n', repeat('x', 200)) AS text", "'web' AS source")
+    texts.repartition(4).write.parquet(f"{path}/documents.parquet")
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "predia"
+    known = set(root.glob("csv-split-*"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        found = QUERIES["csv_line_breaks_split"](spark, path)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    written, = set(root.glob("csv-split-*")) - known
+    assert len(list(written.glob("part-*.csv"))) == 4
+    assert rows(found) == rows(texts.withColumn("doc_id", F.col("doc_id").cast("string")))
