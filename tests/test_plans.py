@@ -7,6 +7,7 @@ from predia.operators.changes import apply_changes, settle_changes, without_late
 from predia.operators.enrich import lookup, pivot_attributes
 from predia.operators.hot_keys import left_fan_out
 from predia.operators.latest import newest_rows, one_per_key
+from predia.plans.products.common import finish
 from predia.session import INITIAL_PARTITIONS, RUNTIME_CONF, scratch_path, size_shuffles, tune
 from predia.sources.keyed_table import KeyedTable
 from predia.workload.standins import read
@@ -163,3 +164,22 @@ def test_a_merge_broadcasts_keys_by_their_measured_size_not_by_that_of_their_fil
     table.upsert(stored.limit(3).withColumn("t", F.lit(3)))
     assert "LeftAnti, BuildRight" in plans[1] and "SortMergeJoin" not in plans[1], "few changes are broadcast"
     assert dict(spark.conf.getAll) == before
+
+
+def test_products_are_sorted_only_after_their_one_shuffle(spark):
+    plan = plan_of(finish(read(spark, FOLDER, "orders"), "o_orderkey", ["o_orderkey"], F.lit(1)))
+    assert plan.count("Exchange") == 1 and plan.index("partial_max") < plan.index("Exchange")
+
+
+def test_a_table_of_one_part_is_loaded_without_bringing_its_rows_together(spark):
+    found = {}
+    for buckets in (1, 4):
+        table = KeyedTable(spark, scratch_path(spark, "parts"), "id", buckets=buckets)
+        put = table._put
+        table._put = lambda *args, put=put, b=buckets, **kwargs: (found.setdefault(b, kwargs.get("spread")), put(*args, **kwargs))
+        table.overwrite(spark.range(100).selectExpr("IF(id = 7, NULL, id) AS id", "1 AS t"))
+        table.upsert(spark.range(95, 105).selectExpr("id", "2 AS t")) if buckets > 1 else None
+        assert table.snapshot().count() == (100 if buckets == 1 else 105)
+    assert found == {1: False, 4: True}
+    empty = KeyedTable(spark, scratch_path(spark, "parts"), "id", buckets=1)
+    assert empty.overwrite(spark.range(0)) is None and not empty.exists()
