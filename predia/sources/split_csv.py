@@ -67,12 +67,20 @@ def numbered_lines(text: DataFrame, options: dict) -> DataFrame:
         (_quotes(F.col("value"), options) % 2).cast("long").alias("odd"))
 
 
-def joined_records(lines: DataFrame) -> DataFrame:
+def counted_blocks(lines: DataFrame) -> DataFrame:
+    """file, block, odds, header: of every split its turns of parity, of a file's first split also the first line.
+
+    Only lines of first splits are compared, so that the aggregation does not sort the text.
+    """
+    first = F.when(F.col("block") == 0, F.col("line"))
+    return lines.groupBy("file", "block").agg(F.sum("odd").alias("odds"), F.min_by(first, "at").alias("header"))
+
+
+def joined_records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """file, place, record: the records of all files, each with the place of its first line.
 
     A record of one line is that line. Of the others, the lines carry the number of openings before them.
     """
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odds"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = blocks.select("file", "block", F.coalesce(F.sum("odds").over(earlier), F.lit(0)).alias("carried"))
     above = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,8 +137,12 @@ def read_split_csv(
     """All files under ``path``; ``reader`` makes a batch reader of the files that count."""
     with same_splits(spark):
         lines = numbered_lines(reader().option("lineSep", "\n").text(path), options)
-        place = F.struct("block", "at")
-        per_file = lines.groupBy("file").agg(F.sum("odd").alias("odds"), F.min_by("line", place).alias("header"))
+        # One row per split, kept: the text is read once to count and once to join.
+        counted = scratch_path(spark, "csv-blocks")
+        with sized(lines):
+            counted_blocks(lines).write.parquet(counted)
+        blocks = spark.read.parquet(counted)
+        per_file = blocks.groupBy("file").agg(F.sum("odds").alias("odds"), F.max("header").alias("header"))
         seen = per_file.agg(
             F.sum("odds").alias("odds"), F.count_if(F.col("odds") % 2 == 1).alias("open"),
             F.min(F.when(F.col("odds") % 2 == 1, F.col("file"))).alias("example"),
@@ -142,5 +154,5 @@ def read_split_csv(
             return (plain if schema is None else plain.schema(schema)).load(path)
         target = scratch_path(spark, "csv-records")
         with sized(lines):
-            joined_records(lines).write.parquet(target)
+            joined_records(lines, blocks).write.parquet(target)
     return parsed(spark.read.parquet(target), options, schema)

@@ -19,7 +19,7 @@ from predia.sources.config import (
 from predia.sources.incremental import IncrementalReader
 from predia.sources.keyed_table import COMMIT, FeedGoneError, KeyedTable, MissingTableError, _pruned
 from predia.sources.readers import UnknownFormatError, query_view, read_table
-from predia.sources.split_csv import BrokenFileError, numbered_lines
+from predia.sources.split_csv import BrokenFileError, counted_blocks, numbered_lines
 from predia.streaming import change_stream
 from predia.streaming.change_stream import read_new_files, stream_changes
 from predia.streaming.latest_state import stream_latest
@@ -747,3 +747,10 @@ def test_csv_of_a_large_table_is_written_by_many_tasks(spark, path, rows):
     written, = set(root.glob("csv-split-*")) - known
     assert len(list(written.glob("part-*.csv"))) == 4
     assert rows(found) == rows(texts.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_splits_are_counted_with_the_first_line_of_each_file_only(spark, rows):
+    lines = spark.createDataFrame(
+        [("f", 0, 5, "a,b", 0), ("f", 0, 6, '"x', 1), ("f", 9, 7, 'y",2', 1), ("g", 0, 8, "", 0)],
+        "file string, block long, at long, line string, odd long")
+    assert rows(counted_blocks(lines)) == [("f", 0, 1, "a,b"), ("f", 9, 1, None), ("g", 0, 0, "")]
