@@ -7,10 +7,11 @@ from predia.operators.changes import apply_changes, settle_changes, without_late
 from predia.operators.enrich import lookup, pivot_attributes
 from predia.operators.hot_keys import left_fan_out
 from predia.operators.latest import newest_rows, one_per_key
+from predia.plans.products import PRODUCTS
 from predia.plans.products.common import finish
 from predia.session import INITIAL_PARTITIONS, RUNTIME_CONF, scratch_path, size_shuffles, tune
 from predia.sources.keyed_table import KeyedTable
-from predia.workload.standins import read
+from predia.workload.standins import read, standins
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -166,6 +167,31 @@ def test_a_merge_broadcasts_keys_by_their_measured_size_not_by_that_of_their_fil
     assert dict(spark.conf.getAll) == before
 
 
+def joined_by(plan, key):
+    """The join operator that has the column among its keys on the left."""
+    return {line.split("Join")[0].split()[-1] for line in plan.split("\n") if f"Join [{key}#" in line}
+
+
+@pytest.mark.parametrize("tables, product, key, broadcast", [
+    (("part",), "properties_and_projects", "id_barrio", "id_usuario"),
+    (("customer",), "properties_and_projects", "id_usuario", "id_barrio"),
+])
+def test_long_tables_are_not_broadcast_whatever_their_files_hold(spark, tables, product, key, broadcast):
+    folder = scratch_path(spark, "long")
+    long = {
+        "customer": spark.range(400_000).selectExpr(
+            "id AS c_custkey", "'n' || xxhash64(id) AS c_name", "0 AS c_nationkey", "1D AS c_acctbal", "'A' AS c_mktsegment"),
+        "part": spark.range(400_000).selectExpr(
+            "id AS p_partkey", "'n' || xxhash64(id) AS p_name", "'b' AS p_brand", "'t' AS p_type", "9 AS p_size",
+            "1D AS p_retailprice"),
+    }
+    for name in ("nation", "region", "customer", "part", "orders", "lineitem"):
+        rows = long[name] if name in tables else read(spark, FOLDER, name)
+        rows.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    plan = plan_of(PRODUCTS[product].build(standins(spark, folder, PRODUCTS[product].reads), "2024-06-30 12:00:00"))
+    assert joined_by(plan, key) == {"SortMerge"} and joined_by(plan, broadcast) == {"BroadcastHash"}
+
+
 def test_products_are_sorted_only_after_their_one_shuffle(spark):
     plan = plan_of(finish(read(spark, FOLDER, "orders"), "o_orderkey", ["o_orderkey"], F.lit(1)))
     assert plan.count("Exchange") == 1 and plan.index("partial_max") < plan.index("Exchange")
