@@ -192,6 +192,17 @@ def test_long_tables_are_not_broadcast_whatever_their_files_hold(spark, tables,
     assert joined_by(plan, key) == {"SortMerge"} and joined_by(plan, broadcast) == {"BroadcastHash"}
 
 
+def test_a_side_is_broadcast_by_the_rows_that_a_shuffle_measured(spark):
+    path = scratch_path(spark, "narrow")
+    spark.range(600_000).selectExpr("id AS d", "'n' || id % 3 AS name").coalesce(1).write.parquet(path)
+    dim = spark.read.parquet(path)
+    few = lookup(hot(spark), dim.where("d < 1000").distinct(), "k", "d", {"name": "name"}, "inner")
+    assert few.count() == 200_000 and len(few.collect()) == 200_000 and "BroadcastHashJoin" in plan_of(few)
+    # Neither side is short, although the left one has few columns.
+    many = lookup(hot(spark), dim.distinct(), "k", "d", {"name": "name"}, "inner")
+    assert len(many.collect()) == 200_000 and "BroadcastHashJoin" not in plan_of(many)
+
+
 def test_products_are_sorted_only_after_their_one_shuffle(spark):
     plan = plan_of(finish(read(spark, FOLDER, "orders"), "o_orderkey", ["o_orderkey"], F.lit(1)))
     assert plan.count("Exchange") == 1 and plan.index("partial_max") < plan.index("Exchange")
