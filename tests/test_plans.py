@@ -7,6 +7,7 @@ from predia.operators.changes import apply_changes, settle_changes, without_late
 from predia.operators.enrich import lookup, pivot_attributes
 from predia.operators.hot_keys import left_fan_out
 from predia.operators.latest import newest_rows, one_per_key
+from predia.plans.marts import MARTS
 from predia.plans.products import PRODUCTS
 from predia.plans.products.common import finish
 from predia.session import INITIAL_PARTITIONS, RUNTIME_CONF, scratch_path, size_shuffles, tune
@@ -192,6 +193,35 @@ def test_long_tables_are_not_broadcast_whatever_their_files_hold(spark, tables,
     assert joined_by(plan, key) == {"SortMerge"} and joined_by(plan, broadcast) == {"BroadcastHash"}
 
 
+def test_the_owners_of_a_mart_are_not_broadcast_by_the_size_of_their_compressed_files(spark):
+    ids = spark.range(300_000).selectExpr("'u' || id AS id_app_identification_number", "'Inmobiliaria' AS ds_type",
+                                          "'Activo' AS ds_status", "'n' || id % 9 AS ds_name", "'c' AS ds_city_name",
+                                          "'s' AS ds_state_name", "TIMESTAMP '2024-01-01 00:00:00' AS dt_creation_date")
+    users = KeyedTable(spark, scratch_path(spark, "users"), "id_app_identification_number", buckets=1)
+    users.overwrite(ids)
+    few = spark.range(100_000).where("id < 100")
+    products = {
+        "app_users": users.snapshot(),
+        "properties_and_projects": few.selectExpr(
+            "'p' || id AS id_publication", "'u' || id * 10 AS id_publication_owner_app_identification_number",
+            "'Inmueble' AS ds_publication_type", "'c' AS ds_city_name"),
+        "leads": few.selectExpr(
+            "'p' || id % 5 AS id_publication", "'l' || id AS id_app_identification_number", "'e' AS ds_email",
+            "'u' AS id_user_app_identification_number", "'1' AS ds_cellphone_number",
+            "TIMESTAMP '2024-02-01 00:00:00' AS dt_creation_date"),
+        "services_per_user": few.selectExpr(
+            "'u' || id AS id_user_app_identification_number", "current_timestamp() AS dt_expiration_date",
+            "'b' || id AS id_service_purchased", "'s' AS id_service", "'Plan' AS ds_service_type"),
+        "service_catalog": spark.range(1).selectExpr("'s' AS id_service", "'best' AS ds_name"),
+    }
+    rows = MARTS["agencies"](products)
+    found = rows.collect()
+    assert len(found) == 95 + 100 and sum(r["Plan"] == "best" for r in found) == 5 + 100
+    plan = plan_of(rows).split("Initial Plan")[-1]
+    owners = [line for line in plan.split("\n") if "Join [id_publication_owner" in line and "Inner" in line]
+    assert len(owners) == 1 and "SortMergeJoin" in owners[0]
+
+
 def test_a_side_is_broadcast_by_the_rows_that_a_shuffle_measured(spark):
     path = scratch_path(spark, "narrow")
     spark.range(600_000).selectExpr("id AS d", "'n' || id % 3 AS name").coalesce(1).write.parquet(path)
